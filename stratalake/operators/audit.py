@@ -40,7 +40,15 @@ def schema_report(df: DataFrame) -> DataFrame:
 
 def table_report(df: DataFrame) -> DataFrame:
     """The schema report with the table's row count beside every column."""
-    return schema_report(df).crossJoin(F.broadcast(row_count(df)))
+    lines = [
+        F.struct(
+            F.lit(i).alias("ordinal"),
+            F.lit(f.name).alias("column_name"),
+            F.lit(f.dataType.simpleString()).alias("data_type"),
+        )
+        for i, f in enumerate(df.schema.fields, start=1)
+    ]
+    return row_count(df).select(F.inline(F.array(*lines)), "n_rows")
 
 
 def preview(df: DataFrame, n: int = 20) -> DataFrame:
