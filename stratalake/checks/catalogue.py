@@ -85,6 +85,14 @@ def as_bronze(df: DataFrame) -> DataFrame:
     return df.transform(as_text).transform(stamp, INGESTION_STAMP, at(INGESTED_AT))
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The rows as a bronze table on disk, which is where cleaning starts from."""
+    layout = new_lake(df.sparkSession, "bronze")
+    path = layout.bronze_path("rows")
+    write_layer(df, path, layout.table_format)
+    return read_table(df.sparkSession, path, layout.table_format)
+
+
 def counts_by_table(tables: dict[str, DataFrame]) -> DataFrame:
     """One row (table_name, n_rows) per table."""
     counts = [row_count(df).select(F.lit(name).alias("table_name"), "n_rows") for name, df in tables.items()]
@@ -176,17 +184,17 @@ def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_feed(spark, sf_dir).transform(clean, now=at(REFINED_AT))
+    return stored(event_feed(spark, sf_dir)).transform(clean, now=at(REFINED_AT))
 
 
 @query("silver_lineitem", f"SELECT {upper_columns(*LINEITEM)}, {SILVER_STAMPS} FROM (SELECT DISTINCT * FROM lineitem) bronze")
 def silver_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_bronze(given(spark, sf_dir, "lineitem")).transform(clean, now=at(REFINED_AT))
+    return stored(as_bronze(given(spark, sf_dir, "lineitem"))).transform(clean, now=at(REFINED_AT))
 
 
 @query("silver_documents", f"SELECT {upper_columns(*DOCUMENTS)}, {SILVER_STAMPS} FROM (SELECT DISTINCT * FROM documents) bronze")
 def silver_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_bronze(given(spark, sf_dir, "documents")).transform(clean, now=at(REFINED_AT))
+    return stored(as_bronze(given(spark, sf_dir, "documents"))).transform(clean, now=at(REFINED_AT))
 
 
 @query("dedupe_rows", "SELECT DISTINCT user_id, event_type FROM events")
@@ -334,9 +342,7 @@ def landing_to_bronze_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("bronze_table_scan", f"SELECT {text_columns(*ORDERS)}, {BRONZE_STAMP} FROM orders")
 def bronze_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    layout = new_lake(spark, "bronze")
-    write_layer(as_bronze(given(spark, sf_dir, "orders")), layout.bronze_path("orders"))
-    return read_table(spark, layout.bronze_path("orders"), layout.table_format)
+    return stored(as_bronze(given(spark, sf_dir, "orders")))
 
 
 @query("bronze_table_list", counts_sql("part", "region", "supplier"))
@@ -367,7 +373,7 @@ def stage_row_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("step_row_counts", STEP_COUNTS_SQL)
 def step_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return step_counts(event_feed(spark, sf_dir))
+    return step_counts(stored(event_feed(spark, sf_dir)))
 
 
 @query("row_count", "SELECT count(*) AS n_rows FROM lineitem")
@@ -394,7 +400,7 @@ def row_count_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def schema_report_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = event_feed(spark, sf_dir)
+    bronze = stored(event_feed(spark, sf_dir))
     silver = bronze.transform(clean, now=at(REFINED_AT))
     reports = [
         table_report(df).select(F.lit(layer).alias("layer"), "*")

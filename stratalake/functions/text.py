@@ -15,29 +15,32 @@ from stratalake.functions.names import column
 # From 1e16 on, and below 1e-4, a float is written with an exponent; between them it is not.
 EXPONENT_FROM = 1e16
 EXPONENT_BELOW = 1e-4
+# Between these, Spark's own text of a double has no exponent.
+SHORT_FROM = 1e-3
+SHORT_BELOW = 1e7
 
 
 def float_text(value: Column) -> Column:
     """``10000000.0``, ``0.00015``, ``1e+16``, ``1.5e-05``; NaN has no text and becomes null."""
-    spark_text = value.cast("string")
-    size = F.abs(value.cast("double"))
-    # Decimal(38, 22) holds every digit of a double between the two bounds.
-    digits = F.rtrim(spark_text.try_cast("decimal(38,22)").cast("string"), F.lit("0"))
-    plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
-    mantissa = F.regexp_replace(F.substring_index(spark_text, "E", 1), r"\.0$", "")
-    exponent = F.substring_index(spark_text, "E", -1)
-    magnitude = F.ltrim(exponent, F.lit("-"))
-    two_digits = F.when(F.length(magnitude) < 2, F.concat(F.lit("0"), magnitude)).otherwise(magnitude)
-    sign = F.when(exponent.startswith("-"), F.lit("-")).otherwise(F.lit("+"))
-    return (
-        F.when(F.isnan(value), F.lit(None).cast("string"))
-        .when(size == float("inf"), F.when(value > 0, F.lit("inf")).otherwise(F.lit("-inf")))
-        .when(~spark_text.contains("E"), spark_text)
-        .when((size >= EXPONENT_BELOW) & (size < EXPONENT_FROM), plain)
-        .otherwise(F.concat(mantissa, F.lit("e"), sign, two_digits))
+    size = F.abs(value)
+    # Most values are short. The rest is a lambda to keep it out of the generated code: spelled out once per float
+    # column it makes a method too long for Java to compile, which costs all rows several times the work.
+    long_text = F.transform(F.array(value.cast("string")), lambda text: _long_float_text(text, size))[0]
+    return F.when(((size >= SHORT_FROM) & (size < SHORT_BELOW)) | (size == 0), value.cast("string")).when(
+        ~F.isnan(value), long_text
     )
 
 
+def _long_float_text(text: Column, size: Column) -> Column:
+    # Decimal(38, 22) holds every digit of a double between the two bounds.
+    plain = F.regexp_replace(text.try_cast("decimal(38,22)").cast("string"), r"(\.\d+?)0+$", "$1")
+    # 1.0E16 to 1E16, Infinity to Inf; then 1E+16; then 1.5E-05.
+    bare = F.regexp_replace(text, r"\.0(?=E)|inity$", "")
+    signed = F.regexp_replace(bare, r"E(?=\d)", "E+")
+    with_exponent = F.lower(F.regexp_replace(signed, r"E-(?=\d$)", "E-0"))
+    return F.when((size >= EXPONENT_BELOW) & (size < EXPONENT_FROM), plain).otherwise(with_exponent)
+
+
 def text_form(value: Column, data_type: T.DataType) -> Column:
     """The landing text of one value of ``data_type``."""
     if isinstance(data_type, T.StringType):

@@ -8,7 +8,7 @@ from stratalake.functions.text import as_text
 from stratalake.sources.files import CSV_OPTIONS
 
 # A landing file is read back by one task, so the rows of a file bound the work of a task.
-ROWS_PER_FILE = 1_000_000
+ROWS_PER_FILE = 250_000
 
 
 def write_landing(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
