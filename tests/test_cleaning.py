@@ -1,0 +1,202 @@
+"""Each cleaning step on small frames, and the properties that hold for any rows."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+from collections import Counter
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from stratalake import (
+    clean,
+    copy_provenance,
+    dedupe_rows,
+    drop_incomplete_rows,
+    rename_by_map,
+    stamp,
+    upper_strings,
+)
+from stratalake.operators.cleaning import clean_counted
+from tests.conftest import STAMP, rows
+
+BRONZE = "CD string, TP string, DT string, NM string, DS string, extra string"
+
+
+def bronze(spark, data, schema=BRONZE):
+    return spark.createDataFrame(data, schema).withColumn("_ingestion_timestamp", F.lit(STAMP))
+
+
+@pytest.fixture
+def dirty(spark):
+    return bronze(
+        spark,
+        [
+            ("1", "a", "d", "são", "straße", "x"),
+            ("1", "a", "d", "são", "straße", "x"),
+            ("2", "a", "d", "n", "s", "x"),
+            ("2", "A", "d", "n", "s", "x"),
+            ("3", None, "d", "n", "s", "x"),
+            ("3", None, "d", "n", "s", "x"),
+        ],
+    )
+
+
+def explained(df, mode="formatted"):
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain(mode)
+    return text.getvalue()
+
+
+def test_distinct_counts_nulls_as_equal(dirty):
+    assert dirty.transform(dedupe_rows).count() == 4
+
+
+def test_null_in_any_column_drops_the_row(dirty):
+    kept = dirty.transform(drop_incomplete_rows)
+    assert kept.count() == 4
+    assert kept.filter("TP IS NULL").isEmpty()
+
+
+def test_all_null_column_empties_the_table(spark):
+    df = bronze(spark, [("1", None), ("2", None)], "CD string, NM string")
+    assert df.transform(drop_incomplete_rows).isEmpty()
+
+
+def test_text_that_only_looks_null_stays(spark):
+    df = spark.createDataFrame([("NaN",), ("null",), ("",), (None,)], "s string")
+    assert rows(df.transform(drop_incomplete_rows)) == [("",), ("NaN",), ("null",)]
+
+
+def test_nan_counts_as_missing_as_in_na_drop(spark):
+    df = spark.createDataFrame(
+        [(1, float("nan"), 1.0, "a", True), (2, None, 1.0, "a", True), (3, 1.0, 2.0, "a", None), (4, 1.0, 2.0, "a", True)],
+        "CD int, v double, w float, s string, ok boolean",
+    )
+    assert rows(df.transform(drop_incomplete_rows)) == rows(df.na.drop()) == [(4, 1.0, 2.0, "a", True)]
+
+
+def test_null_filter_of_a_frame_without_columns_keeps_it(spark):
+    assert drop_incomplete_rows(spark.createDataFrame([(1,)], "a int").drop("a")).count() == 1
+
+
+def test_upper_touches_strings_only_and_maps_full_unicode(spark):
+    df = spark.createDataFrame([("straße é", 1, ["ab"])], "s string, n int, arr array<string>")
+    assert rows(df.transform(upper_strings)) == [("STRASSE É", 1, ["ab"])]
+
+
+def test_upper_handles_names_with_dots_and_backticks(spark):
+    df = spark.createDataFrame([("x", "y", "z")], "`a.b` string, `c``d` string, `e f` string")
+    out = df.transform(upper_strings)
+    assert out.columns == df.columns
+    assert rows(out) == [("X", "Y", "Z")]
+
+
+def test_rename_takes_exact_names_only(spark):
+    df = spark.createDataFrame([("1", "2", "3", "4")], "CD_X string, nm string, `a.b` string, DT string")
+    assert df.transform(rename_by_map).columns == ["CD_X", "nm", "a.b", "DATA"]
+
+
+def test_rename_all_five(spark):
+    df = spark.createDataFrame([("1",) * 5], "CD string, TP string, DT string, NM string, DS string")
+    assert df.transform(rename_by_map).columns == ["CODIGO", "TIPO", "DATA", "NOME", "DESCRICAO"]
+
+
+def test_rename_follows_the_map_in_order(spark):
+    df = spark.createDataFrame([("1",)], "a string")
+    assert df.transform(rename_by_map, {"a": "b", "b": "c"}).columns == ["c"]
+
+
+@pytest.mark.parametrize("schema", ["CD string, CODIGO string", "CD string, codigo string"])
+def test_rename_refuses_to_give_two_columns_one_name(spark, schema):
+    df = spark.createDataFrame([("1", "2")], schema)
+    with pytest.raises(ValueError, match="(?i)codigo"):
+        df.transform(rename_by_map)
+
+
+def test_stamp_is_one_value_per_query(spark):
+    df = spark.range(1000).repartition(4).transform(stamp, "a").transform(stamp, "b")
+    assert df.schema["a"].dataType == T.TimestampType()
+    assert df.select("a").distinct().count() == 1
+    assert df.filter("a <> b").isEmpty()
+
+
+def test_provenance_copies_the_ingestion_time(dirty):
+    out = dirty.transform(copy_provenance)
+    assert out.schema["_source_table"].dataType == T.TimestampType()
+    assert out.filter("_source_table <> _ingestion_timestamp").isEmpty()
+
+
+def test_provenance_needs_a_bronze_table(spark):
+    with pytest.raises(ValueError, match="_ingestion_timestamp"):
+        spark.createDataFrame([("1",)], "CD string").transform(copy_provenance)
+
+
+def test_clean_compares_before_it_upper_cases(dirty):
+    out = dirty.transform(clean, now=F.lit(STAMP))
+    assert out.columns == [
+        "CODIGO", "TIPO", "DATA", "NOME", "DESCRICAO", "extra",
+        "_ingestion_timestamp", "_silver_ingestion_timestamp", "_source_table",
+    ]
+    assert rows(out) == [
+        ("1", "A", "D", "SÃO", "STRASSE", "X", STAMP, STAMP, STAMP),
+        ("2", "A", "D", "N", "S", "X", STAMP, STAMP, STAMP),
+        ("2", "A", "D", "N", "S", "X", STAMP, STAMP, STAMP),
+    ]
+
+
+def test_clean_replaces_an_older_silver_stamp(dirty):
+    stamped = dirty.withColumn("_silver_ingestion_timestamp", F.lit(STAMP) - F.expr("INTERVAL 1 DAY"))
+    out = stamped.transform(clean, now=F.lit(STAMP))
+    assert out.columns.count("_silver_ingestion_timestamp") == 1
+    assert {r[0] for r in out.select("_silver_ingestion_timestamp").collect()} == {STAMP}
+
+
+def test_counted_form_gives_the_same_rows_and_the_counts(dirty, tmp_path):
+    counts = Observation()
+    clean_counted(dirty, counts, now=F.lit(STAMP)).write.parquet(str(tmp_path / "out"))
+    assert counts.get == {"rows_read": 6, "rows_distinct": 4, "rows_complete": 3}
+    written = dirty.sparkSession.read.parquet(str(tmp_path / "out"))
+    assert rows(written) == rows(dirty.transform(clean, now=F.lit(STAMP)))
+
+
+@pytest.mark.parametrize("audited", [False, True])
+def test_plan_has_one_exchange_and_merges_copies_before_it(spark, tmp_path, audited):
+    path = str(tmp_path / "bronze")
+    bronze(spark, [("1", "a", "d", "n", "s", "x")]).write.parquet(path)
+    df = spark.read.parquet(path)
+    out = clean_counted(df, Observation()) if audited else df.transform(clean)
+    plan = explained(out, "simple")
+    assert plan.count("Exchange") == 1
+    assert plan.count("HashAggregate") == 2
+    assert "Python" not in plan
+
+
+def test_null_filter_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    bronze(spark, [("1", "a", "d", "n", "s", "x")]).write.parquet(path)
+    plan = explained(spark.read.parquet(path).transform(clean))
+    pushed = next(line for line in plan.splitlines() if "PushedFilters" in line)
+    assert all(f"IsNotNull({c})" in pushed for c in ("CD", "TP", "DT", "NM", "DS", "extra"))
+
+
+CELLS = st.one_of(st.none(), st.sampled_from(["", "a", "A", "ß", "é", " ", "x,y", '"']))
+TABLES = st.lists(st.tuples(CELLS, CELLS), max_size=12)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(TABLES)
+def test_steps_are_idempotent_and_agree_with_plain_python(spark, data):
+    df = spark.createDataFrame(data, "CD string, v string")
+    for step in (dedupe_rows, drop_incomplete_rows, upper_strings):
+        once = df.transform(step)
+        assert Counter(once.collect()) == Counter(once.transform(step).collect())
+    silver = bronze(spark, data, "CD string, v string").transform(clean, now=F.lit(STAMP)).select("CODIGO", "v")
+    expected = [tuple(v.upper() for v in row) for row in dict.fromkeys(data) if None not in row]
+    assert Counter(map(tuple, silver.collect())) == Counter(expected)

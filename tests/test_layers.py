@@ -1,0 +1,133 @@
+"""Layer paths, listings, lake tables and the guards of the layer sink."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+import pytest
+
+from stratalake import LakeLayout, TableDirectory, read_lines, read_table
+from stratalake.sinks.layers import SchemaChanged, write_layer
+from stratalake.sources.files import probe_lines
+from stratalake.sources.listing import bronze_tables, landing_tables, size_in_bytes
+from tests.conftest import rows
+
+
+def test_paths_keep_the_table_name(layout):
+    assert layout.landing_path("t") == f"{layout.landing}/t.csv"
+    assert layout.bronze_path("t") == f"{layout.bronze}/t"
+    assert layout.silver_path("t") == f"{layout.silver}/t"
+
+
+def test_one_container_per_layer():
+    lake = LakeLayout.in_containers("acct.example.net", "landing", "bronze", "silver", subdir="/sales/")
+    assert lake.bronze_path("t") == "abfss://bronze@acct.example.net/sales/t"
+    assert LakeLayout.in_containers("h", "l", "b", "s").landing_path("t") == "abfss://l@h/t.csv"
+
+
+@pytest.mark.parametrize("layers", [("", "b", "s"), ("l", "b", " "), ("l", "x", "x/")])
+def test_layers_must_be_there_and_differ(layers):
+    with pytest.raises(ValueError):
+        LakeLayout(*layers)
+
+
+def test_containers_must_all_be_named():
+    with pytest.raises(ValueError):
+        LakeLayout.in_containers("h", "l", "b", "")
+
+
+@pytest.mark.parametrize("name", ["", "a/b", "..", "."])
+def test_table_names_stay_inside_their_layer(layout, name):
+    with pytest.raises(ValueError):
+        layout.bronze_path(name)
+
+
+def test_landing_listing_takes_files_and_directories_and_cuts_the_suffix_only(spark, layout):
+    root = Path(layout.landing)
+    (root / "c.csv").mkdir(parents=True)
+    for name in ("a.csv", "b.csv.csv", "notes.txt", "x.csv.bak"):
+        (root / name).write_text("a\n1\n")
+    assert landing_tables(spark, layout) == ["a", "b.csv", "c"]
+
+
+def test_bronze_listing_takes_directories(spark, layout):
+    for name in ("a", "b"):
+        (Path(layout.bronze) / name).mkdir(parents=True)
+    (Path(layout.bronze) / "x").write_text("")
+    assert bronze_tables(spark, layout) == ["a", "b"]
+
+
+def test_listing_a_layer_that_is_not_there_fails(spark, layout):
+    with pytest.raises(Exception, match="does not exist"):
+        bronze_tables(spark, layout)
+
+
+def test_size_of_what_is_there(spark, tmp_path):
+    (tmp_path / "f").write_text("12345")
+    assert size_in_bytes(spark, str(tmp_path / "f")) == 5
+    assert size_in_bytes(spark, str(tmp_path / "none")) == 0
+
+
+def test_table_round_trip_and_overwrite(spark, layout):
+    path = layout.bronze_path("t")
+    write_layer(spark.createDataFrame([(1, "a")], "i int, s string"), path)
+    write_layer(spark.createDataFrame([(2, "b")], "i int, s string"), path)
+    assert rows(read_table(spark, path)) == [(2, "b")]
+
+
+def test_other_formats_than_parquet(spark, layout):
+    path = layout.bronze_path("t")
+    write_layer(spark.createDataFrame([(1, "a")], "i int, s string"), path, "orc")
+    assert rows(read_table(spark, path, "orc")) == [(1, "a")]
+
+
+@pytest.mark.parametrize("schema", ["i int, s string, z string", "i int", "i bigint, s string", "s string, i int"])
+def test_changed_columns_are_refused_and_nothing_is_lost(spark, layout, schema):
+    path = layout.bronze_path("t")
+    write_layer(spark.createDataFrame([(1, "a")], "i int, s string"), path)
+    with pytest.raises(SchemaChanged, match="on_schema_change"):
+        write_layer(spark.createDataFrame([], schema), path)
+    assert rows(read_table(spark, path)) == [(1, "a")]
+
+
+def test_changed_columns_can_be_accepted(spark, layout):
+    path = layout.bronze_path("t")
+    write_layer(spark.createDataFrame([(1, "a")], "i int, s string"), path)
+    write_layer(spark.createDataFrame([(1,)], "z int"), path, on_schema_change="replace")
+    assert rows(read_table(spark, path)) == [(1,)]
+
+
+def test_what_a_broken_write_left_can_be_written_again(spark, layout):
+    (Path(layout.bronze_path("t")) / "_temporary").mkdir(parents=True)
+    write_layer(spark.createDataFrame([(1,)], "i int"), layout.bronze_path("t"))
+    assert rows(read_table(spark, layout.bronze_path("t"))) == [(1,)]
+
+
+def test_a_table_does_not_overwrite_its_own_source(spark, layout):
+    path = layout.bronze_path("t")
+    write_layer(spark.createDataFrame([(1,)], "i int"), path)
+    with pytest.raises(ValueError, match="same write"):
+        write_layer(read_table(spark, path), path, source_path=f"file:{path}/")
+    assert rows(read_table(spark, path)) == [(1,)]
+
+
+def test_policy_names_are_checked(spark, layout):
+    with pytest.raises(ValueError, match="on_schema_change"):
+        write_layer(spark.range(1), layout.bronze_path("t"), on_schema_change="merge")
+
+
+def test_lines_over_a_glob(spark, tmp_path):
+    (tmp_path / "a1.txt").write_text("x\ny\n")
+    (tmp_path / "a2.txt").write_text("z\n")
+    (tmp_path / "b.txt").write_text("no\n")
+    assert rows(read_lines(spark, f"{tmp_path}/a*")) == [("x",), ("y",), ("z",)]
+    assert rows(probe_lines(spark, f"{tmp_path}/a*")) == [(1,)]
+
+
+def test_directory_of_table_files_is_a_source(spark, tmp_path):
+    for name in ("a", "b"):
+        spark.range(3).write.parquet(f"{tmp_path}/{name}.parquet")
+    source = TableDirectory(str(tmp_path))
+    assert source.tables(spark) == ["a", "b"]
+    assert source.read(spark, "b").count() == 3
+    assert rows(source.probe(spark)) == [(1,)]

@@ -1,0 +1,74 @@
+"""Text forms of the landing area."""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import struct
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from stratalake.functions.text import as_text, float_text
+from tests.conftest import rows
+
+FLOATS = [
+    0.0, -0.0, 1.0, 100.0, 0.1, 1e-3, 9.999e-4, 1e-4, 1.5e-4, 9.9e-5, 1e-5, 1.5e-5, -1.25e-10, 1.5e-100,
+    9999999.0, 1e7, -1e7, 1.5e7, 123456789.125, 12345678901234.567, 1e15, 9999999999999998.0,
+    1e16, 1.5e16, 1e22, 1e100, 1.7976931348623157e308,
+]
+
+
+def texts(spark, values, kind="double"):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {kind}")
+    return [r.t for r in df.select("i", float_text(F.col("v")).alias("t")).orderBy("i").collect()]
+
+
+def test_floats_read_as_they_do_in_a_csv_dump(spark):
+    assert texts(spark, FLOATS) == [repr(v) for v in FLOATS]
+
+
+def test_floats_without_a_number(spark):
+    assert texts(spark, [float("nan"), float("inf"), float("-inf"), None]) == [None, "inf", "-inf", None]
+
+
+def test_single_precision_keeps_its_own_digits(spark):
+    assert texts(spark, [0.1, 1.5e7, 1e-5], "float") == ["0.1", "15000000.0", "1e-05"]
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.floats(allow_nan=False, allow_infinity=False), min_size=1, max_size=200))
+def test_float_text_loses_nothing(spark, values):
+    for value, text in zip(values, texts(spark, values), strict=True):
+        assert struct.pack("d", float(text)) == struct.pack("d", value)
+        assert ("e" in text) == ("e" in repr(value))
+
+
+def test_other_types(spark):
+    df = spark.createDataFrame(
+        [
+            (1, decimal.Decimal("10.50"), True, dt.date(2024, 1, 2), dt.datetime(2024, 1, 2, 3, 4, 5), b"ab", {"k": [1]}),
+            (None, None, False, None, dt.datetime(2024, 1, 2, 3, 4, 5, 120000), None, None),
+            (None, None, None, None, None, None, None),
+        ],
+        "i int, d decimal(10,2), b boolean, day date, ts timestamp_ntz, raw binary, m struct<k: array<int>>",
+    )
+    assert rows(df.transform(as_text)) == [
+        (None, None, None, None, None, None, None),
+        (None, None, "False", None, "2024-01-02 03:04:05.12", None, None),
+        ("1", "10.50", "True", "2024-01-02", "2024-01-02 03:04:05", "YWI=", '{"k":[1]}'),
+    ]
+
+
+def test_names_stay(spark):
+    df = spark.createDataFrame([(1, 2.5)], "`a.b` int, `c d` double")
+    assert df.transform(as_text).columns == ["a.b", "c d"]
+
+
+@pytest.mark.parametrize("kind", ["map<string,int>", "array<double>"])
+def test_nested_values_are_json(spark, kind):
+    value = {"k": 1} if kind.startswith("map") else [1.5]
+    df = spark.createDataFrame([(value,)], f"v {kind}")
+    assert rows(df.transform(as_text)) == [('{"k":1}' if isinstance(value, dict) else "[1.5]",)]
