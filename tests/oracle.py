@@ -46,7 +46,7 @@ if __name__ == "__main__":
 
     scale, *wanted = sys.argv[1:] or ["0.01"]
     spark = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master(os.environ.get("ORACLE_MASTER", "local[8]"))
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
@@ -59,7 +59,10 @@ if __name__ == "__main__":
         if wanted and key not in wanted:
             continue
         start = time.time()
-        result = run(spark, directory)
         sql = oracle_sql().get(key)
-        verdict = differences(result, database, sql) or "same" if sql else f"{result.count()} rows, no SQL"
+        try:
+            result = run(spark, directory)
+            verdict = differences(result, database, sql) or "same" if sql else f"{result.count()} rows, no SQL"
+        except Exception as error:
+            verdict = f"{type(error).__name__}: {error}"[:300]
         print(f"{key:34s} {time.time() - start:6.2f}s  {verdict}", flush=True)
