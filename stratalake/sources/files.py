@@ -5,20 +5,39 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stratalake.sources.listing import names_with_suffix
+from stratalake.sources.listing import largest_file, names_with_suffix
 
 # Quotes inside a value are doubled, and a quoted value may hold line breaks.
 CSV_OPTIONS = {"header": "true", "escape": '"'}
 
 
-def read_landing(spark: SparkSession, path: str) -> DataFrame:
+# From this size on it pays to look whether a landing file can be read by several tasks.
+LARGE_FILE = 256 * 1024 * 1024
+
+
+def read_landing(spark: SparkSession, path: str, large_file: int = LARGE_FILE) -> DataFrame:
     """A landing CSV, file or directory, with every column as string.
 
-    A file with line breaks inside values cannot be cut at arbitrary bytes, so each file is one task; the
-    landing sink bounds the rows per file to keep such tasks even.
+    A file whose values may hold line breaks cannot be cut at arbitrary bytes, so each file is one task; the
+    landing sink bounds the rows per file to keep such tasks even. Where another program left a large file, its
+    lines are looked through first, in parallel: if every record fits in its line, the file is read in pieces.
+    """
+    in_pieces = largest_file(spark, path) >= large_file and records_fit_in_lines(spark, path)
+    return spark.read.options(**CSV_OPTIONS).option("multiLine", str(not in_pieces)).csv(path)
+
+
+def records_fit_in_lines(spark: SparkSession, path: str) -> bool:
+    """Whether reading the file line by line is sure to give the same rows as reading it whole.
+
+    Quotes come in pairs within a record, so a record that goes on in the next line leaves an odd number in its
+    first. Carriage returns, and lines of nothing but blanks, mean different things to the two readers.
     """
-    return spark.read.options(**CSV_OPTIONS).option("multiLine", "true").csv(path)
+    text = F.col("value")
+    quotes = F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))
+    doubtful = (quotes % 2 == 1) | text.contains("\r") | text.rlike(r"^[\x00-\x20]+$")
+    return spark.read.text(path, lineSep="\n").filter(doubtful).isEmpty()
 
 
 def read_table(spark: SparkSession, path: str, table_format: str = "parquet") -> DataFrame:

@@ -29,6 +29,12 @@ def size_in_bytes(spark: SparkSession, uri: str) -> int:
     return fs.getContentSummary(path).getLength() if fs.exists(path) else 0
 
 
+def largest_file(spark: SparkSession, uri: str) -> int:
+    """Bytes of the file at ``uri``, or of the largest file directly in it."""
+    fs, path = _file_system(spark, uri)
+    return max((s.getLen() for s in fs.listStatus(path) if s.isFile()), default=0)
+
+
 def qualified(spark: SparkSession, uri: str) -> str:
     """``uri`` with scheme and authority, so that two spellings of one place compare equal."""
     fs, path = _file_system(spark, uri)

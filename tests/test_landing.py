@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 
 from stratalake import DocumentSource, read_landing
 from stratalake.sinks.landing import write_landing
+from stratalake.sources.files import records_fit_in_lines
 from tests.conftest import rows
 
 AWKWARD = [
@@ -116,3 +117,40 @@ def test_empty_collection_has_a_landing_form(spark, tmp_path, path):
     assert documents.columns == []
     write_landing(documents, path)
     assert read_landing(spark, path).columns == []
+
+
+ONE_LINE_RECORDS = 'a,b\n1,"x,y"\n\n2, lead\n3,"say ""hi"""\n4,\n5,"",\n6\n7,back\\slash\n8,é ß\n'
+
+
+def test_large_file_of_one_line_records_is_read_in_pieces_with_the_same_rows(spark, path):
+    body = "".join(f'{i},"text, {i}"\n' for i in range(20_000))
+    write_file(path, ONE_LINE_RECORDS + body)
+    whole = read_landing(spark, path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64KB")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    pieces = read_landing(spark, path, large_file=1)
+    assert pieces.rdd.getNumPartitions() > 4
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert pieces.columns == whole.columns
+    assert rows(pieces) == rows(whole)
+
+
+@pytest.mark.parametrize(
+    ("content", "fits"),
+    [
+        (ONE_LINE_RECORDS, True),
+        ('a,b\n1,"x\ny"\n', False),
+        ('a,b\n1,"x\ry"\n', False),
+        ('a,b\n1,"x\r\ny"\n', False),
+        ('a,b\n1,"""\n"""\n', False),
+        ('a,b\n1,x"y\n', False),
+        ("a\n  \nx\n", False),
+        ("a,b\r\n1,x\r\n", False),
+        ("a,b\n1,x\r\n2,y\n", False),
+    ],
+)
+def test_records_over_several_lines_are_noticed(spark, path, content, fits):
+    write_file(path, content)
+    assert records_fit_in_lines(spark, path) is fits
+    assert rows(read_landing(spark, path, large_file=1)) == rows(read_landing(spark, path))
