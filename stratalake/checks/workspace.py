@@ -23,7 +23,7 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
         master = spark.sparkContext.master
         if master != "local" and not master.startswith("local["):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="stratalake-")
+        shared = tempfile.gettempdir()
     return scratch_directory(spark, f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}")
 
 

@@ -115,7 +115,8 @@ def landing_to_bronze(
         return TableResult("bronze", table, "written", rows_read=n, rows_written=n)
 
     names = landing_tables(spark, layout) if tables is None else tables
-    return _run_stage(spark, "bronze", names, load, on_error, parallelism)
+    sizes = {table: size_in_bytes(spark, layout.landing_path(table)) for table in names}
+    return _run_stage(spark, "bronze", _largest_first(sizes, parallelism), load, on_error, parallelism)
 
 
 def bronze_to_silver(
@@ -156,9 +157,9 @@ def bronze_to_silver(
         )
 
     names = bronze_tables(spark, layout) if tables is None else tables
-    largest = max((size_in_bytes(spark, layout.bronze_path(t)) for t in names), default=0)
-    with shuffles_sized_for(spark, largest):
-        return _run_stage(spark, "silver", names, refine, on_error, parallelism)
+    sizes = {table: size_in_bytes(spark, layout.bronze_path(table)) for table in names}
+    with shuffles_sized_for(spark, max(sizes.values(), default=0)):
+        return _run_stage(spark, "silver", _largest_first(sizes, parallelism), refine, on_error, parallelism)
 
 
 def run_pipeline(
@@ -189,6 +190,11 @@ def _counted(df: DataFrame, counts: Observation) -> DataFrame:
     return df.observe(counts, F.count(F.lit(1)).alias("n"))
 
 
+def _largest_first(sizes: Mapping[str, int], parallelism: int) -> list[str]:
+    """The order to begin tables in: beside others, a large one begun last would run on alone."""
+    return sorted(sizes, key=lambda table: -sizes[table]) if parallelism > 1 else list(sizes)
+
+
 def _run_stage(
     spark: SparkSession,
     stage: str,
