@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import logging
+import queue
+import threading
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stratalake.functions.names import columns
 from stratalake.operators.cleaning import is_complete
 
+log = logging.getLogger(__name__)
+
+# How long counts may lag behind the write they were taken in.
+PATIENCE_SECONDS = 300.0
+
 
 def row_count(df: DataFrame, name: str = "n_rows") -> DataFrame:
     """The number of rows, as a one-row DataFrame."""
@@ -32,6 +42,23 @@ def step_counts(df: DataFrame) -> DataFrame:
     )
 
 
+def observed_counts(
+    counts: Observation, recount: Callable[[], DataFrame], patience: float = PATIENCE_SECONDS
+) -> dict[str, int]:
+    """The counts left in an observation, or those of ``recount`` if they do not come.
+
+    They come over Spark's listener bus. A job of very many tasks can flood it, and it then drops what it cannot
+    hold; waiting for counts that were dropped would never end.
+    """
+    arrived: queue.Queue[dict[str, int]] = queue.Queue()
+    threading.Thread(target=lambda: arrived.put(counts.get), daemon=True).start()
+    try:
+        return arrived.get(timeout=patience)
+    except queue.Empty:
+        log.warning("no counts came with the write, counting again")
+        return recount().first().asDict()
+
+
 def schema_report(df: DataFrame) -> DataFrame:
     """One row per column: ordinal from 1, name, type."""
     rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields, start=1)]

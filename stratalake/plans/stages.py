@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.layout import LakeLayout
+from stratalake.operators.audit import observed_counts, row_count, step_counts
 from stratalake.operators.cleaning import INGESTION_STAMP, RENAME_MAP, clean, clean_counted, stamp
 from stratalake.plans.sizing import shuffles_sized_for
 from stratalake.sinks.landing import ROWS_PER_FILE, write_landing
@@ -87,8 +88,9 @@ def extract_to_landing(
         if not rows.columns:
             write_landing(rows, layout.landing_path(table))
             return TableResult("extract", table, "written", rows_read=0, rows_written=0)
-        write_landing(_counted(rows, counts), layout.landing_path(table), rows_per_file)
-        n = counts.get["n"]
+        path = layout.landing_path(table)
+        write_landing(_counted(rows, counts), path, rows_per_file)
+        n = observed_counts(counts, lambda: row_count(read_landing(spark, path), "n"))["n"]
         return TableResult("extract", table, "written", rows_read=n, rows_written=n)
 
     names = source.tables(spark) if tables is None else tables
@@ -110,8 +112,9 @@ def landing_to_bronze(
     def load(table: str) -> TableResult:
         counts = Observation()
         rows = read_landing(spark, layout.landing_path(table)).transform(stamp, INGESTION_STAMP, now)
-        write_layer(_counted(rows, counts), layout.bronze_path(table), layout.table_format, on_schema_change)
-        n = counts.get["n"]
+        path = layout.bronze_path(table)
+        write_layer(_counted(rows, counts), path, layout.table_format, on_schema_change)
+        n = observed_counts(counts, lambda: row_count(read_table(spark, path, layout.table_format), "n"))["n"]
         return TableResult("bronze", table, "written", rows_read=n, rows_written=n)
 
     names = landing_tables(spark, layout) if tables is None else tables
@@ -145,7 +148,7 @@ def bronze_to_silver(
         write_layer(silver, path, layout.table_format, on_schema_change, source_path)
         if not audit:
             return TableResult("silver", table, "written")
-        n = counts.get
+        n = observed_counts(counts, lambda: step_counts(bronze))
         return TableResult(
             "silver",
             table,
