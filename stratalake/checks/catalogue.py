@@ -187,12 +187,18 @@ def silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(event_feed(spark, sf_dir)).transform(clean, now=at(REFINED_AT))
 
 
-@query("silver_lineitem", f"SELECT {upper_columns(*LINEITEM)}, {SILVER_STAMPS} FROM (SELECT DISTINCT * FROM lineitem) bronze")
+@query(
+    "silver_lineitem",
+    f"SELECT {upper_columns(*LINEITEM)}, {SILVER_STAMPS} FROM (SELECT DISTINCT * FROM lineitem) bronze",
+)
 def silver_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(as_bronze(given(spark, sf_dir, "lineitem"))).transform(clean, now=at(REFINED_AT))
 
 
-@query("silver_documents", f"SELECT {upper_columns(*DOCUMENTS)}, {SILVER_STAMPS} FROM (SELECT DISTINCT * FROM documents) bronze")
+@query(
+    "silver_documents",
+    f"SELECT {upper_columns(*DOCUMENTS)}, {SILVER_STAMPS} FROM (SELECT DISTINCT * FROM documents) bronze",
+)
 def silver_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(as_bronze(given(spark, sf_dir, "documents"))).transform(clean, now=at(REFINED_AT))
 
@@ -272,7 +278,10 @@ def bronze_stamp_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("silver_provenance_copy", f"SELECT s_suppkey, s_name, {BRONZE_STAMP}, TIMESTAMP '{INGESTED_AT}' AS _source_table FROM supplier")
+@query(
+    "silver_provenance_copy",
+    f"SELECT s_suppkey, s_name, {BRONZE_STAMP}, TIMESTAMP '{INGESTED_AT}' AS _source_table FROM supplier",
+)
 def silver_provenance_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = given(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     return supplier.transform(stamp, INGESTION_STAMP, at(INGESTED_AT)).transform(copy_provenance)
@@ -303,12 +312,18 @@ def landing_csv_html_fidelity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return through_landing(spark, sf_dir, "pages")
 
 
-@query("landing_csv_json_fidelity", f"SELECT {text_columns('event_id', 'ts', 'user_id', 'event_type', 'value', 'props')} FROM events")
+@query(
+    "landing_csv_json_fidelity",
+    f"SELECT {text_columns('event_id', 'ts', 'user_id', 'event_type', 'value', 'props')} FROM events",
+)
 def landing_csv_json_fidelity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return through_landing(spark, sf_dir, "events")
 
 
-@query("text_line_scan", f"SELECT concat_ws(',', {', '.join(f'CAST({c} AS VARCHAR)' for c in ORDERS)}) AS value FROM orders")
+@query(
+    "text_line_scan",
+    f"SELECT concat_ws(',', {', '.join(f'CAST({c} AS VARCHAR)' for c in ORDERS)}) AS value FROM orders",
+)
 def text_line_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = new_lake(spark, "lines")
     write_landing(given(spark, sf_dir, "orders"), layout.landing_path("orders"))
@@ -363,7 +378,10 @@ STEP_COUNTS_SQL = f"""
 """
 
 
-@query("stage_row_audit", f"SELECT rows_read, rows_distinct, rows_complete, rows_complete AS rows_written FROM ({STEP_COUNTS_SQL}) c")
+@query(
+    "stage_row_audit",
+    f"SELECT rows_read, rows_distinct, rows_complete, rows_complete AS rows_written FROM ({STEP_COUNTS_SQL}) c",
+)
 def stage_row_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = new_lake(spark, "audit")
     write_layer(event_feed(spark, sf_dir), layout.bronze_path("feed"))
@@ -439,7 +457,10 @@ def jdbc_table_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts_by_table({name: source.read(spark, name) for name in source.tables(spark)})
 
 
-@query("jdbc_single_table_extract", f"SELECT {text_columns('s_suppkey', 's_name', 's_nationkey', 's_acctbal')} FROM supplier")
+@query(
+    "jdbc_single_table_extract",
+    f"SELECT {text_columns('s_suppkey', 's_name', 's_nationkey', 's_acctbal')} FROM supplier",
+)
 def jdbc_single_table_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {name: given(spark, sf_dir, name) for name in ("supplier", "region")}
     source, layout = load_database(spark, tables), new_lake(spark, "single")

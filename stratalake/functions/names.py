@@ -16,6 +16,14 @@ def columns(df: DataFrame) -> list[Column]:
     return [column(name) for name in df.columns]
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, drawn out until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def repeated(names: Iterable[str], case_sensitive: bool) -> list[str]:
     """Names that occur more than once under the session's rule for comparing them."""
     seen: set[str] = set()

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from stratalake.functions.names import columns
+from stratalake.functions.names import columns, unused
 from stratalake.operators.cleaning import is_complete
 
 log = logging.getLogger(__name__)
@@ -29,7 +29,7 @@ def step_counts(df: DataFrame) -> DataFrame:
 
     One pass: equal rows are counted together, then the groups are added up.
     """
-    copies = "__copies"
+    copies = unused(df, "__copies")
     complete = F.count_if(is_complete(df.schema))
     return (
         df.groupBy(*columns(df))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.functions.names import column, columns, is_case_sensitive, repeated
+from stratalake.functions.names import column, columns, is_case_sensitive, repeated, unused
 
 # Metadata columns of bronze and silver tables.
 INGESTION_STAMP = "_ingestion_timestamp"
@@ -113,7 +113,7 @@ def clean_counted(
     That place is the last stage of a write, where Spark counts each task once however often it is retried;
     counts taken before the exchange would grow when lost map tasks are run again.
     """
-    copies = "__copies"
+    copies = unused(df, "__copies")
     return (
         df.groupBy(*columns(df))
         .agg(F.count(F.lit(1)).alias(copies))

@@ -28,6 +28,11 @@ def test_step_counts(spark, dirty):
     assert rows(step_counts(dirty.limit(0))) == [(0, 0, 0)]
 
 
+def test_step_counts_of_a_table_with_the_helper_columns_name(spark):
+    df = spark.createDataFrame([("a",), ("a",), (None,)], "__COPIES string")
+    assert rows(step_counts(df)) == [(3, 2, 1)]
+
+
 def test_schema_report_and_table_report(dirty):
     assert rows(schema_report(dirty)) == [(1, "s", "string"), (2, "n", "int")]
     assert rows(table_report(dirty)) == [(1, "s", "string", 5), (2, "n", "int", 5)]

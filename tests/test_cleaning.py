@@ -76,7 +76,12 @@ def test_text_that_only_looks_null_stays(spark):
 
 def test_nan_counts_as_missing_as_in_na_drop(spark):
     df = spark.createDataFrame(
-        [(1, float("nan"), 1.0, "a", True), (2, None, 1.0, "a", True), (3, 1.0, 2.0, "a", None), (4, 1.0, 2.0, "a", True)],
+        [
+            (1, float("nan"), 1.0, "a", True),
+            (2, None, 1.0, "a", True),
+            (3, 1.0, 2.0, "a", None),
+            (4, 1.0, 2.0, "a", True),
+        ],
         "CD int, v double, w float, s string, ok boolean",
     )
     assert rows(df.transform(drop_incomplete_rows)) == rows(df.na.drop()) == [(4, 1.0, 2.0, "a", True)]

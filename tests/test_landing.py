@@ -65,7 +65,8 @@ def test_all_null_row_is_kept(spark, path):
 
 
 def test_file_written_by_a_data_frame_library_is_read_exactly(spark, path):
-    pd.DataFrame({"i": range(len(AWKWARD)), "s": AWKWARD, "n": [None, 1.5] * (len(AWKWARD) // 2)}).to_csv(path, index=False)
+    numbers = [None, 1.5] * (len(AWKWARD) // 2)
+    pd.DataFrame({"i": range(len(AWKWARD)), "s": AWKWARD, "n": numbers}).to_csv(path, index=False)
     back = {int(r.i): (r.s, r.n) for r in read_landing(spark, path).collect()}
     assert back == {i: (s, "1.5" if i % 2 else None) for i, s in enumerate(AWKWARD)}
 

@@ -100,7 +100,8 @@ def test_silver_with_and_without_counts(spark, source, layout, stamp_at, audit):
 
 
 def test_one_write_job_reads_bronze_once(spark, layout, stamp_at):
-    write_layer(spark.createDataFrame([("1",)], "CD string").withColumn("_ingestion_timestamp", stamp_at), layout.bronze_path("t"))
+    bronze = spark.createDataFrame([("1",)], "CD string").withColumn("_ingestion_timestamp", stamp_at)
+    write_layer(bronze, layout.bronze_path("t"))
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("silver", "one table")
     bronze_to_silver(spark, layout, parallelism=1)
@@ -125,7 +126,8 @@ def test_first_failure_stops_the_stage_and_keeps_what_is_written(spark, layout,
     broken_lake(spark, layout, stamp_at)
     with pytest.raises(StageFailure, match="table b") as failure:
         bronze_to_silver(spark, layout, parallelism=1)
-    assert [(r.table_name, r.status) for r in failure.value.results] == [("a", "written"), ("b", "failed"), ("c", "skipped")]
+    outcome = [(r.table_name, r.status) for r in failure.value.results]
+    assert outcome == [("a", "written"), ("b", "failed"), ("c", "skipped")]
     assert read_table(spark, layout.silver_path("a")).count() == 1
     assert not Path(layout.silver_path("c")).exists()
 

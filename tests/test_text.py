@@ -47,10 +47,11 @@ def test_float_text_loses_nothing(spark, values):
 
 
 def test_other_types(spark):
+    moment = dt.datetime(2024, 1, 2, 3, 4, 5)
     df = spark.createDataFrame(
         [
-            (1, decimal.Decimal("10.50"), True, dt.date(2024, 1, 2), dt.datetime(2024, 1, 2, 3, 4, 5), b"ab", {"k": [1]}),
-            (None, None, False, None, dt.datetime(2024, 1, 2, 3, 4, 5, 120000), None, None),
+            (1, decimal.Decimal("10.50"), True, dt.date(2024, 1, 2), moment, b"ab", {"k": [1]}),
+            (None, None, False, None, moment.replace(microsecond=120000), None, None),
             (None, None, None, None, None, None, None),
         ],
         "i int, d decimal(10,2), b boolean, day date, ts timestamp_ntz, raw binary, m struct<k: array<int>>",
