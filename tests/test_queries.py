@@ -9,6 +9,7 @@ import os
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from stratalake.checks.catalogue import ORACLES, QUERIES
 from tests.oracle import TESTDATA, connect, differences
 
 SF_DIR = f"{TESTDATA}/sf0.001"
@@ -32,12 +33,13 @@ def database():
 
 def test_every_operator_is_registered():
     assert set(OPERATORS) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"preview_rows"}
+    assert set(QUERIES) - set(ORACLES) == {"preview_rows"}
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_gives_the_rows_of_its_sql(spark, database, name):
-    assert differences(queries()[name](spark, SF_DIR), database, oracle_sql()[name]) is None
+    assert differences(QUERIES[name](spark, SF_DIR), database, ORACLES[name]) is None
 
 
 def test_preview_shows_rows_of_the_table(spark):
