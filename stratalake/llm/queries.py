@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalake.checks.workspace import new_folder
+from stratalake.llm import language, quality
 from stratalake.llm.common import table
 from stratalake.llm.decontamination import contamination
+from stratalake.llm.labelled import held_out
 from stratalake.llm.line_dedup import drop_shared_lines
 from stratalake.llm.mixing import mix
+from stratalake.llm.token_files import read_token_files, write_token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +30,23 @@ def query(name: str) -> Callable[[Query], Query]:
     return register
 
 
+@query("op1_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs.where(~held_out(F.col("doc_id"))))
+    return language.identify(docs, model).withColumn("held_out", held_out(F.col("doc_id")))
+
+
+@query("op3_quality_classifier")
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
+    scored = quality.score(docs, quality.train(docs, labels))
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 @query("op4_mixing_sources")
 def mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
@@ -36,6 +58,13 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query("op7_token_files")
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "tokens")
+    shards = write_token_files(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
+    return read_token_files(spark, shards)
+
+
 @query("op8_decontamination")
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
