@@ -59,3 +59,31 @@ ORACLES["op8_decontamination"] = rf"""
            sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
     FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+ORACLES["op10_ngram_jaccard"] = rf"""
+    WITH RECURSIVE d AS (
+        SELECT doc_id, regexp_extract_all(translate(text, {LOWER}), '[^\x20\x09-\x0D]+') AS w FROM documents
+    ),
+    sets AS (
+        SELECT DISTINCT doc_id, w[pos:pos + least(len(w), 5) - 1] AS gram
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS pos FROM d WHERE len(w) > 0)
+    ),
+    sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+    hashed AS (SELECT doc_id, md5(list_aggregate(gram, 'string_agg', ' ')) AS gram FROM sets),
+    common AS (
+        SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n
+        FROM hashed a JOIN hashed b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL
+    ),
+    pairs AS (
+        SELECT u, v FROM common JOIN sizes a ON a.doc_id = u JOIN sizes b ON b.doc_id = v
+        WHERE 100 * common.n >= 75 * (a.n + b.n - common.n)
+    ),
+    links AS (SELECT u, v FROM pairs UNION ALL SELECT v, u FROM pairs),
+    reached AS (
+        SELECT doc_id AS node, doc_id AS root FROM documents
+        UNION
+        SELECT links.v AS node, reached.root FROM reached JOIN links ON links.u = reached.node WHERE reached.root < links.v
+    )
+    SELECT d.doc_id, coalesce(max(sizes.n), 0) AS n_shingles, min(reached.root) AS component_id
+    FROM d LEFT JOIN sizes USING (doc_id) JOIN reached ON reached.node = d.doc_id GROUP BY d.doc_id
+"""

@@ -12,6 +12,7 @@ from stratalake.checks.workspace import new_folder
 from stratalake.llm import language, quality
 from stratalake.llm.common import table
 from stratalake.llm.decontamination import contamination
+from stratalake.llm.jaccard_join import similar_groups
 from stratalake.llm.labelled import held_out
 from stratalake.llm.line_dedup import drop_shared_lines
 from stratalake.llm.mixing import mix
@@ -76,3 +77,8 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+@query("op10_ngram_jaccard")
+def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_groups(table(spark, sf_dir, "documents"))
