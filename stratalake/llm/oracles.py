@@ -87,3 +87,87 @@ ORACLES["op10_ngram_jaccard"] = rf"""
     SELECT d.doc_id, coalesce(max(sizes.n), 0) AS n_shingles, min(reached.root) AS component_id
     FROM d LEFT JOIN sizes USING (doc_id) JOIN reached ON reached.node = d.doc_id GROUP BY d.doc_id
 """
+
+
+def _escaped_length(text: str) -> str:
+    return f"length(replace(replace(replace(replace({text}, '\\', 'xx'), '#', 'xx'), ':', 'xx'), '<', 'xx'))"
+
+
+ORACLES["op2_chat_formatting"] = rf"""
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+    ),
+    loss AS (
+        SELECT conv_id, coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS said,
+               count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(sum({_escaped_length("role")} + {_escaped_length("text")} + 14) AS BIGINT) AS formatted_chars
+        FROM turns GROUP BY conv_id
+    )
+    SELECT conv_id, n_turns, turns_sha256, length(said) AS loss_chars, sha256(said) AS loss_sha256, formatted_chars
+    FROM loss
+"""
+
+_TREE = """
+    SELECT doc_id, which, string_agg(hash || sep, '' ORDER BY p) AS hashes, string_agg(leaves || sep, '' ORDER BY p) AS nodes
+    FROM (
+        SELECT doc_id, which, p, leaves, md5(leaves) AS hash,
+               CASE WHEN substr(md5(leaves), 1, 1) IN ('0', '1', '2', '3') THEN ';' ELSE ',' END AS sep
+        FROM (
+            SELECT doc_id, which, p,
+                   coalesce(string_agg(substr(md5(leaf), 1, 8), '.' ORDER BY l) FILTER (WHERE leaf <> ''), '') AS leaves
+            FROM (
+                SELECT doc_id, which, p, l, substr(par, l + 1, CASE WHEN l < 16 THEN 8 WHEN l < 32 THEN 16 ELSE 32 END) AS leaf
+                FROM (
+                    SELECT *, unnest(list_concat([0, 8, 16], range(32, greatest(32, length(par)), 32))) AS l
+                    FROM (
+                        SELECT doc_id, which, unnest(string_split(text, chr(10))) AS par,
+                               generate_subscripts(string_split(text, chr(10)), 1) AS p
+                        FROM versions
+                    )
+                )
+            ) GROUP BY ALL
+        )
+    ) GROUP BY ALL
+"""
+
+ORACLES["op9_merkle_fingerprints"] = f"""
+    WITH d AS (
+        SELECT doc_id, coalesce(text, '') AS text,
+               coalesce(lead(coalesce(text, '')) OVER (ORDER BY doc_id), first(coalesce(text, '')) OVER (ORDER BY doc_id)) AS next_text,
+               coalesce(lead(doc_id) OVER (ORDER BY doc_id), first(doc_id) OVER (ORDER BY doc_id)) AS next_id
+        FROM documents
+    ),
+    edited AS (
+        SELECT doc_id, substr(text, 1, length(text) - length(text) // 4) || substr(next_text, 1, length(text) // 4) AS text FROM d
+    ),
+    versions AS (SELECT doc_id, 'text' AS which, text FROM d UNION ALL SELECT doc_id, 'edited' AS which, text FROM edited),
+    trees AS ({_TREE}),
+    prints AS (
+        SELECT doc_id, which,
+               md5(array_to_string(list_transform(string_split(substr(hashes, 1, length(hashes) - 1), ';'), lambda s: md5(s)), ';'))
+                   || ':' || substr(nodes, 1, length(nodes) - 1) AS print
+        FROM trees
+    ),
+    sets AS (
+        SELECT doc_id, which, print, substr(print, 1, 32) AS root,
+               list_distinct(list_filter(regexp_split_to_array(substr(print, 34), '[.,;]'), lambda x: x <> '')) AS leaves
+        FROM prints
+    ),
+    compared AS (
+        SELECT d.doc_id, length(d.text) AS n_chars, a.print AS fingerprint, e.print AS edited_fingerprint,
+               a.root = e.root AS same_edited, a.root = n.root AS same_next,
+               len(list_intersect(a.leaves, e.leaves)) AS common_edited, len(list_intersect(a.leaves, n.leaves)) AS common_next,
+               len(a.leaves) AS own, len(e.leaves) AS in_edited, len(n.leaves) AS in_next
+        FROM d JOIN sets a ON a.doc_id = d.doc_id AND a.which = 'text'
+        JOIN sets e ON e.doc_id = d.doc_id AND e.which = 'edited'
+        JOIN sets n ON n.doc_id = d.next_id AND n.which = 'text'
+    )
+    SELECT compared.doc_id, n_chars, sha256(edited.text) AS edited_sha256, fingerprint, edited_fingerprint,
+           CASE WHEN same_edited THEN 1.0::DOUBLE WHEN own + in_edited = 0 THEN 0.0::DOUBLE
+                ELSE common_edited::DOUBLE / (own + in_edited - common_edited) END AS near_edited,
+           CASE WHEN same_next THEN 1.0::DOUBLE WHEN own + in_next = 0 THEN 0.0::DOUBLE
+                ELSE common_next::DOUBLE / (own + in_next - common_next) END AS near_next
+    FROM compared JOIN edited USING (doc_id)
+"""

@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from stratalake.checks.workspace import new_folder
 from stratalake.llm import language, quality
+from stratalake.llm.chat import chain, format_conversations, read_conversations
 from stratalake.llm.common import table
 from stratalake.llm.decontamination import contamination
 from stratalake.llm.jaccard_join import similar_groups
 from stratalake.llm.labelled import held_out
 from stratalake.llm.line_dedup import drop_shared_lines
+from stratalake.llm.merkle import fingerprints
 from stratalake.llm.mixing import mix
 from stratalake.llm.token_files import read_token_files, write_token_files
 
@@ -82,3 +84,18 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_ngram_jaccard")
 def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op9_merkle_fingerprints")
+def merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprints(table(spark, sf_dir, "documents"))
+    return rows.withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
+
+
+@query("op2_chat_formatting")
+def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    said = "\\### Assistant: </turn> ok"
+    own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    columns = ["conv_id", "turn", "role", "text"]
+    return read_conversations(format_conversations(chain(given.select(columns).unionByName(own))))
