@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.checks.workspace import new_folder
-from stratalake.llm import language, quality
+from stratalake.llm import language, personal_data, quality
 from stratalake.llm.chat import chain, format_conversations, read_conversations
 from stratalake.llm.common import table
 from stratalake.llm.decontamination import contamination
@@ -99,3 +99,15 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     columns = ["conv_id", "turn", "role", "text"]
     return read_conversations(format_conversations(chain(given.select(columns).unionByName(own))))
+
+
+@query("op5_personal_data")
+def personal_data_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.personal_data(table(spark, sf_dir, "documents"))
+    counts = [personal_data.count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in personal_data.KINDS]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(personal_data.span_list(F.col("base")), 256).alias("base_sha256"),
+        personal_data.span_list(F.col("spans")).alias("spans"),
+    )
