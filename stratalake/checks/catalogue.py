@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.checks.database import load_database
@@ -93,6 +93,14 @@ def stored(df: DataFrame) -> DataFrame:
     return read_table(df.sparkSession, path, layout.table_format)
 
 
+def refined(df: DataFrame) -> DataFrame:
+    """Bronze rows, written, taken through the silver stage and read back."""
+    layout = new_lake(df.sparkSession, "silver")
+    write_layer(df, layout.bronze_path("rows"), layout.table_format)
+    bronze_to_silver(df.sparkSession, layout, now=at(REFINED_AT))
+    return read_table(df.sparkSession, layout.silver_path("rows"), layout.table_format)
+
+
 def counts_by_table(tables: dict[str, DataFrame]) -> DataFrame:
     """One row (table_name, n_rows) per table."""
     counts = [row_count(df).select(F.lit(name).alias("table_name"), "n_rows") for name, df in tables.items()]
@@ -184,7 +192,7 @@ def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored(event_feed(spark, sf_dir)).transform(clean, now=at(REFINED_AT))
+    return refined(event_feed(spark, sf_dir))
 
 
 @query(
@@ -192,7 +200,7 @@ def silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"SELECT {upper_columns(*LINEITEM)}, {SILVER_STAMPS} FROM (SELECT DISTINCT * FROM lineitem) bronze",
 )
 def silver_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored(as_bronze(given(spark, sf_dir, "lineitem"))).transform(clean, now=at(REFINED_AT))
+    return refined(as_bronze(given(spark, sf_dir, "lineitem")))
 
 
 @query(
@@ -200,30 +208,34 @@ def silver_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"SELECT {upper_columns(*DOCUMENTS)}, {SILVER_STAMPS} FROM (SELECT DISTINCT * FROM documents) bronze",
 )
 def silver_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored(as_bronze(given(spark, sf_dir, "documents"))).transform(clean, now=at(REFINED_AT))
+    return refined(as_bronze(given(spark, sf_dir, "documents")))
+
+
+def with_copies(df: DataFrame, some: str) -> DataFrame:
+    """The table with copies of itself, and once more of the rows that `some` picks."""
+    return df.unionByName(df).unionByName(df.where(some))
 
 
-@query("dedupe_rows", "SELECT DISTINCT user_id, event_type FROM events")
+@query("dedupe_rows", "SELECT DISTINCT * FROM events")
 def dedupe_rows_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return given(spark, sf_dir, "events").select("user_id", "event_type").transform(dedupe_rows)
+    return with_copies(given(spark, sf_dir, "events"), "event_type = 'error'").transform(dedupe_rows)
 
 
-@query("dedupe_rows_lineitem", "SELECT DISTINCT l_returnflag, l_linestatus, l_shipdate FROM lineitem")
+@query("dedupe_rows_lineitem", "SELECT DISTINCT * FROM lineitem")
 def dedupe_rows_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = given(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_shipdate")
-    return rows.transform(dedupe_rows)
+    return with_copies(given(spark, sf_dir, "lineitem"), "l_returnflag = 'R'").transform(dedupe_rows)
 
 
 @query(
     "drop_incomplete_rows",
     """
-    SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+    SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic
     FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
     WHERE l.quality IS NOT NULL AND l.toxic IS NOT NULL
     """,
 )
 def drop_incomplete_rows_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = given(spark, sf_dir, "documents").drop("text")
+    documents = given(spark, sf_dir, "documents")
     return documents.join(given(spark, sf_dir, "labels"), "doc_id", "left").transform(drop_incomplete_rows)
 
 
@@ -250,16 +262,15 @@ def upper_strings_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return given(spark, sf_dir, "documents").transform(upper_strings)
 
 
-@query("rename_by_map", "SELECT p_partkey AS CODIGO, p_name AS NOME, p_type AS TIPO, p_brand FROM part")
+@query("rename_by_map", "SELECT * RENAME (p_partkey AS CODIGO, p_name AS NOME, p_type AS TIPO) FROM part")
 def rename_by_map_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = given(spark, sf_dir, "part")
-    return part.selectExpr("p_partkey AS CD", "p_name AS NM", "p_type AS TP", "p_brand").transform(rename_by_map)
+    return part.withColumnsRenamed({"p_partkey": "CD", "p_name": "NM", "p_type": "TP"}).transform(rename_by_map)
 
 
-@query("bronze_stamp", f"SELECT o_orderkey, o_custkey, {BRONZE_STAMP} FROM orders")
+@query("bronze_stamp", f"SELECT *, {BRONZE_STAMP} FROM orders")
 def bronze_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = given(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return orders.transform(stamp, INGESTION_STAMP, at(INGESTED_AT))
+    return given(spark, sf_dir, "orders").transform(stamp, INGESTION_STAMP, at(INGESTED_AT))
 
 
 @query(
@@ -280,10 +291,10 @@ def bronze_stamp_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "silver_provenance_copy",
-    f"SELECT s_suppkey, s_name, {BRONZE_STAMP}, TIMESTAMP '{INGESTED_AT}' AS _source_table FROM supplier",
+    f"SELECT *, {BRONZE_STAMP}, TIMESTAMP '{INGESTED_AT}' AS _source_table FROM supplier",
 )
 def silver_provenance_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    supplier = given(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    supplier = given(spark, sf_dir, "supplier")
     return supplier.transform(stamp, INGESTION_STAMP, at(INGESTED_AT)).transform(copy_provenance)
 
 
@@ -427,18 +438,12 @@ def schema_report_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
-@query("preview_rows")
+@query("preview_rows", "SELECT least(20, count(*)) AS n_rows FROM orders")
 def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return preview(given(spark, sf_dir, "events"))
-
-
-@query("preview_rows_known", "SELECT least(20, count(*)) AS n_rows FROM orders")
-def preview_rows_known(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which rows a preview shows is open; that they are rows of the table, and how many, is not."""
+    """Which rows a preview shows is open; that they are whole rows of the table, and how many, is not."""
     orders = given(spark, sf_dir, "orders")
     # A preview has at most 20 rows, whatever the table has.
-    shown = F.broadcast(preview(orders).select("o_orderkey"))
-    return row_count(orders.join(shown, "o_orderkey", "left_semi"))
+    return row_count(orders.join(F.broadcast(preview(orders)), orders.columns, "left_semi"))
 
 
 # Relational sources (in-process database: local mode only, see ``database``)
@@ -502,25 +507,34 @@ def source_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Document sources
 
 
-def export_collections(spark: SparkSession, sf_dir: str) -> DocumentSource:
-    """Two collections as JSON lines: nested turns, and labels whose documents differ in their keys."""
-    root = new_folder(spark, "documents")
-    turns = given(spark, sf_dir, "conversations").select(
+def exported_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as documents with nested turns."""
+    return given(spark, sf_dir, "conversations").select(
         "conv_id", F.struct("turn", "role", "text").alias("message"), F.array("role").alias("tags")
     )
-    turns.write.json(f"{root}/conversations.json")
-    labels = given(spark, sf_dir, "labels").select(
+
+
+def exported_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels as documents that differ in their keys."""
+    return given(spark, sf_dir, "labels").select(
         "doc_id",
         F.when(F.col("toxic") == 1, F.col("toxic")).alias("toxic"),
         F.when(F.col("toxic") == 0, F.col("quality")).alias("quality"),
     )
-    labels.write.json(f"{root}/labels.json")
+
+
+def export_collections(spark: SparkSession, **collections: DataFrame) -> DocumentSource:
+    """A folder of collections as JSON lines."""
+    root = new_folder(spark, "documents")
+    for name, rows in collections.items():
+        rows.write.json(f"{root}/{name}.json")
     return DocumentSource(root)
 
 
 @query("document_collection_flatten", "SELECT conv_id, turn, role, text, role AS tag FROM conversations")
 def document_collection_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source, layout = export_collections(spark, sf_dir), new_lake(spark, "flatten")
+    source = export_collections(spark, conversations=exported_turns(spark, sf_dir))
+    layout = new_lake(spark, "flatten")
     extract_to_landing(spark, source, layout, ["conversations"])
     landed = read_landing(spark, layout.landing_path("conversations"))
     parsed = landed.transform(parse_nested, "message", "turn bigint, role string, text string")
@@ -536,19 +550,65 @@ def document_collection_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def document_key_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = export_collections(spark, sf_dir).read(spark, "labels")
-    return labels.select("doc_id", F.col("toxic").cast("int"), F.col("quality").cast("int"))
+    labels = export_collections(spark, labels=exported_labels(spark, sf_dir)).read(spark, "labels")
+    return labels.select(F.col("doc_id").cast("bigint"), F.col("toxic").cast("int"), F.col("quality").cast("int"))
+
+
+@query(
+    "document_value_fidelity",
+    """
+    SELECT CAST(event_id AS VARCHAR) AS id, '1' || event_id || '00000000000000000000000000' AS large,
+           event_type AS kind, CASE WHEN event_id % 2 = 0 THEN CAST(event_id AS VARCHAR) ELSE event_id || '.50' END AS mixed,
+           '{"k":null,"m":1.50}' AS nested, props AS "Props", CASE WHEN event_type = 'error' THEN 'True' END AS flag
+    FROM events
+    UNION ALL
+    SELECT conv_id || '-' || turn AS id, NULL, role, NULL, NULL, text, NULL FROM conversations
+    """,
+)
+def document_value_fidelity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of two shapes, written as text letter by letter: long and mixed numbers, nested nulls, missing keys."""
+    root = new_folder(spark, "documents")
+
+    def quoted(name: str) -> Column:
+        # the value as JSON text, from an array of one
+        return F.regexp_extract(F.to_json(F.array(name), {"ignoreNullFields": "false"}), r"(?s)^\[(.*)\]$", 1)
+
+    number = F.when(F.col("event_id") % 2 == 0, F.col("event_id").cast("string")).otherwise(F.concat("event_id", F.lit(".50")))
+    events = given(spark, sf_dir, "events").select(
+        F.concat(
+            F.format_string('{"id":"%d","large":1%d00000000000000000000000000,"kind":', "event_id", "event_id"),
+            quoted("event_type"),
+            F.lit(',"mixed":'),
+            number,
+            F.lit(',"nested":{"k":null,"m":1.50},"Props":'),
+            quoted("props"),
+            F.when(F.col("event_type") == "error", ',"flag":true').otherwise(""),
+            F.lit("}"),
+        ).alias("value")
+    )
+    turns = given(spark, sf_dir, "conversations").select(
+        F.concat(
+            F.format_string('{"id":"%d-%d","kind":', "conv_id", "turn"), quoted("role"), F.lit(',"Props":'), quoted("text"), F.lit("}")
+        ).alias("value")
+    )
+    events.unionByName(turns).write.text(f"{root}/mixed.json")
+    return DocumentSource(root).read(spark, "mixed")
 
 
 @query("collection_discovery", counts_sql("conversations", "labels"))
 def collection_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = export_collections(spark, sf_dir)
+    source = export_collections(
+        spark, conversations=exported_turns(spark, sf_dir), labels=exported_labels(spark, sf_dir)
+    )
     return counts_by_table({name: source.read(spark, name) for name in source.tables(spark)})
 
 
 @query("extract_collections_counts", counts_sql("conversations", "labels"))
 def extract_collections_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    results = extract_to_landing(spark, export_collections(spark, sf_dir), new_lake(spark, "collections"))
+    source = export_collections(
+        spark, conversations=exported_turns(spark, sf_dir), labels=exported_labels(spark, sf_dir)
+    )
+    results = extract_to_landing(spark, source, new_lake(spark, "collections"))
     return results.select("table_name", F.col("rows_written").alias("n_rows"))
 
 
@@ -562,15 +622,19 @@ def refined_lake(spark: SparkSession, source, *tables: str) -> LakeLayout:
 
 
 SILVER_CUSTOMER_SQL = f"""
-    SELECT {upper_columns('c_custkey', 'c_name', 'c_nationkey', 'c_mktsegment')}, c_acctbal, {SILVER_STAMPS}
-    FROM customer
+    SELECT {upper_columns('c_custkey', 'c_name', 'c_nationkey', 'c_mktsegment')}, c_acctbal,
+           {upper_columns('n_name', 'r_name')}, {SILVER_STAMPS}
+    FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
 """
 
 
 def silver_customer(spark: SparkSession, source) -> DataFrame:
+    """Customers with nation and region, all from silver."""
     layout = refined_lake(spark, source, "customer", "nation", "region")
-    silver = read_table(spark, layout.silver_path("customer"))
-    return silver.withColumn("c_acctbal", F.col("c_acctbal").cast("double"))
+    customer, nation, region = (read_table(spark, layout.silver_path(name)) for name in ("customer", "nation", "region"))
+    named = nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).select("n_nationkey", "n_name", "r_name")
+    joined = customer.join(named, customer["c_nationkey"] == named["n_nationkey"]).drop("n_nationkey")
+    return joined.withColumn("c_acctbal", F.col("c_acctbal").cast("double"))
 
 
 @query("medallion_full", SILVER_CUSTOMER_SQL)

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
@@ -11,8 +10,9 @@ INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 # Stored bytes per reduce task. Compressed columns unfold several times over in the shuffle.
 BYTES_PER_TASK = 64 * 1024 * 1024
-# Beyond this many reduce tasks the bookkeeping of the shuffle costs more than larger, spilling tasks.
-MOST_TASKS = 32_768
+# Beyond this many reduce tasks the bookkeeping of the shuffle costs more than larger, spilling tasks: 100 TB of
+# stored bytes are then 760 MB for each.
+MOST_TASKS = 131_072
 
 
 def reduce_tasks(stored_bytes: int, configured: int) -> int:
@@ -20,21 +20,23 @@ def reduce_tasks(stored_bytes: int, configured: int) -> int:
     return max(configured, min(MOST_TASKS, -(-stored_bytes // BYTES_PER_TASK)))
 
 
-@contextmanager
-def shuffles_sized_for(spark: SparkSession, stored_bytes: int) -> Iterator[int]:
-    """Starts adaptive shuffles with enough partitions for the largest input at hand.
+def session_like(spark: SparkSession, settings: Mapping[str, str]) -> SparkSession:
+    """A session of its own with the given settings and otherwise those of ``spark``, which stays as it is."""
+    session = spark.newSession()
+    ours, theirs = spark.conf.getAll, session.conf.getAll
+    for name, value in (ours | dict(settings)).items():
+        if theirs.get(name) != value and session.conf.isModifiable(name):
+            session.conf.set(name, value)
+    return session
+
+
+def session_sized_for(spark: SparkSession, stored_bytes: int) -> SparkSession:
+    """A session whose adaptive shuffles begin with enough partitions for one table.
 
     The session's fixed number fits one size of table only: adaptive execution can join partitions that turn
     out small, but an aggregate's partitions are never split. A number the user has set stays.
     """
-    before = spark.conf.get(INITIAL_PARTITIONS, None)
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if before is not None:
-        yield int(before)
-        return
-    tasks = reduce_tasks(stored_bytes, configured)
-    spark.conf.set(INITIAL_PARTITIONS, tasks)
-    try:
-        yield tasks
-    finally:
-        spark.conf.unset(INITIAL_PARTITIONS)
+    if spark.conf.get(INITIAL_PARTITIONS, None) is not None:
+        return spark
+    tasks = reduce_tasks(stored_bytes, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return session_like(spark, {INITIAL_PARTITIONS: str(tasks)})

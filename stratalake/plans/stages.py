@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from stratalake.layout import LakeLayout
 from stratalake.operators.audit import observed_counts, row_count, step_counts
 from stratalake.operators.cleaning import INGESTION_STAMP, RENAME_MAP, clean, clean_counted, stamp
-from stratalake.plans.sizing import shuffles_sized_for
-from stratalake.sinks.landing import ROWS_PER_FILE, write_landing
+from stratalake.plans.sizing import session_sized_for
+from stratalake.sinks.landing import rows_for, write_landing
 from stratalake.sinks.layers import write_layer
 from stratalake.sources.files import read_landing, read_table
 from stratalake.sources.listing import bronze_tables, landing_tables, size_in_bytes
@@ -76,11 +76,14 @@ def extract_to_landing(
     layout: LakeLayout,
     tables: Sequence[str] | None = None,
     *,
-    rows_per_file: int = ROWS_PER_FILE,
+    rows_per_file: int | None = None,
     on_error: str = "fail",
     parallelism: int = 4,
 ) -> DataFrame:
-    """Writes every table of the source, or those named, to the landing area."""
+    """Writes every table of the source, or those named, to the landing area.
+
+    ``rows_per_file`` bounds the rows of a file; by default it follows from the width of the rows (see ``rows_for``).
+    """
 
     def extract(table: str) -> TableResult:
         counts = Observation()
@@ -89,7 +92,7 @@ def extract_to_landing(
             write_landing(rows, layout.landing_path(table))
             return TableResult("extract", table, "written", rows_read=0, rows_written=0)
         path = layout.landing_path(table)
-        write_landing(_counted(rows, counts), path, rows_per_file)
+        write_landing(_counted(rows, counts), path, rows_per_file or rows_for(rows))
         n = observed_counts(counts, lambda: row_count(read_landing(spark, path), "n"))["n"]
         return TableResult("extract", table, "written", rows_read=n, rows_written=n)
 
@@ -137,12 +140,13 @@ def bronze_to_silver(
     """Cleans every bronze table, or those named, into silver.
 
     With ``audit`` the counts of each step come with the one pass that writes the table. Without it they stay
-    null, and incomplete rows are already left out by the scan, before the shuffle.
+    null, and incomplete rows are already left out by the scan, before the shuffle. Each table's shuffle is sized by the
+    table, in a session of its own.
     """
 
     def refine(table: str) -> TableResult:
         source_path, path = layout.bronze_path(table), layout.silver_path(table)
-        bronze = read_table(spark, source_path, layout.table_format)
+        bronze = read_table(session_sized_for(spark, sizes[table]), source_path, layout.table_format)
         counts = Observation()
         silver = clean_counted(bronze, counts, rename_map, now) if audit else clean(bronze, rename_map, now)
         write_layer(silver, path, layout.table_format, on_schema_change, source_path)
@@ -161,8 +165,7 @@ def bronze_to_silver(
 
     names = bronze_tables(spark, layout) if tables is None else tables
     sizes = {table: size_in_bytes(spark, layout.bronze_path(table)) for table in names}
-    with shuffles_sized_for(spark, max(sizes.values(), default=0)):
-        return _run_stage(spark, "silver", _largest_first(sizes, parallelism), refine, on_error, parallelism)
+    return _run_stage(spark, "silver", _largest_first(sizes, parallelism), refine, on_error, parallelism)
 
 
 def run_pipeline(
@@ -174,16 +177,20 @@ def run_pipeline(
     ingested_at: Column | None = None,
     refined_at: Column | None = None,
     *,
+    rows_per_file: int | None = None,
     audit: bool = True,
     on_schema_change: str = "fail",
+    on_error: str = "fail",
     parallelism: int = 4,
 ) -> DataFrame:
     """All three stages, each begun when the one before has written all its tables.
 
-    The later stages take the tables their layer lists, or those named.
+    The later stages take the tables their layer lists, or those named. With ``on_error="continue"`` a table that fails in
+    one stage is tried in the next only if its layer has an earlier version of it.
     """
-    writes = {"on_schema_change": on_schema_change, "parallelism": parallelism}
-    extracted = extract_to_landing(spark, source, layout, tables, parallelism=parallelism)
+    policy = {"on_error": on_error, "parallelism": parallelism}
+    writes = {"on_schema_change": on_schema_change, **policy}
+    extracted = extract_to_landing(spark, source, layout, tables, rows_per_file=rows_per_file, **policy)
     loaded = landing_to_bronze(spark, layout, tables, ingested_at, **writes)
     refined = bronze_to_silver(spark, layout, rename_map, tables, refined_at, audit=audit, **writes)
     return extracted.unionByName(loaded).unionByName(refined)

@@ -3,12 +3,28 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from stratalake.functions.names import column
 from stratalake.functions.text import as_text
 from stratalake.sources.files import CSV_OPTIONS
 
-# A landing file is read back by one task, so the rows of a file bound the work of a task.
+# A landing file is read back by one task, so the bytes of a file bound the work of a task: about so many, for rows
+# as wide as the ones looked at.
+FILE_BYTES = 64 * 1024 * 1024
 ROWS_PER_FILE = 250_000
+ROWS_LOOKED_AT = 1_000
+
+
+def rows_for(df: DataFrame, file_bytes: int = FILE_BYTES) -> int:
+    """Rows for a file of about ``file_bytes``, and ``ROWS_PER_FILE`` at most.
+
+    The width is that of some rows, ``ROWS_LOOKED_AT`` of them. It only decides how rows are dealt out to files.
+    """
+    text = df.limit(ROWS_LOOKED_AT).transform(as_text)
+    widths = [F.coalesce(F.octet_length(column(name)), F.lit(0)) + 3 for name in text.columns]
+    width = text.select(sum(widths[1:], widths[0]).alias("width")).agg(F.avg("width")).first()[0]
+    return max(1, min(ROWS_PER_FILE, int(file_bytes / width))) if width else ROWS_PER_FILE
 
 
 def write_landing(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:

@@ -17,27 +17,55 @@ CSV_OPTIONS = {"header": "true", "escape": '"'}
 LARGE_FILE = 256 * 1024 * 1024
 
 
+class HeadersDiffer(ValueError):
+    """The files of a landing table do not have one header."""
+
+
 def read_landing(spark: SparkSession, path: str, large_file: int = LARGE_FILE) -> DataFrame:
     """A landing CSV, file or directory, with every column as string.
 
     A file whose values may hold line breaks cannot be cut at arbitrary bytes, so each file is one task; the
-    landing sink bounds the rows per file to keep such tasks even. Where another program left a large file, its
-    lines are looked through first, in parallel: if every record fits in its line, the file is read in pieces.
-    """
-    in_pieces = largest_file(spark, path) >= large_file and records_fit_in_lines(spark, path)
-    return spark.read.options(**CSV_OPTIONS).option("multiLine", str(not in_pieces)).csv(path)
-
-
-def records_fit_in_lines(spark: SparkSession, path: str) -> bool:
-    """Whether reading the file line by line is sure to give the same rows as reading it whole.
-
-    Quotes come in pairs within a record, so a record that goes on in the next line leaves an odd number in its
-    first. Carriage returns, and lines of nothing but blanks, mean different things to the two readers.
+    landing sink bounds the bytes of a file to keep such tasks even. Where another program left a large file, its
+    lines are looked through first, in parallel: if every line is surely a record, the file is read in pieces, which gives
+    the same rows. Columns go by place, so files with another header than the first one stop the read.
     """
-    text = F.col("value")
-    quotes = F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))
-    doubtful = (quotes % 2 == 1) | text.contains("\r") | text.rlike(r"^[\x00-\x20]+$")
-    return spark.read.text(path, lineSep="\n").filter(doubtful).isEmpty()
+    in_pieces = largest_file(spark, path) >= large_file and lines_are_records(spark, path)
+    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(not in_pieces))
+    rows = reader.csv(path)
+    # A name that ends with its place may stand for an empty or repeated one, and is then not what the file says.
+    if any(name.endswith(str(place)) for place, name in enumerate(rows.columns)):
+        if not headers_agree(spark, path):
+            raise HeadersDiffer(f"the files of {path} have different headers")
+        return rows
+    # The reader itself compares each file's header with the schema.
+    return reader.option("enforceSchema", "false").schema(rows.schema).csv(path) if rows.columns else rows
+
+
+def headers_agree(spark: SparkSession, path: str) -> bool:
+    """Whether the first records of all files are equal; a pass over the files that leaves one record for each."""
+    records = spark.read.options(**CSV_OPTIONS).option("header", "false").option("multiLine", "true").csv(path)
+    if not records.columns:
+        return True
+    placed = records.select(
+        F.struct(*(f"`{name}`" for name in records.columns)).alias("record"),
+        F.col("_metadata.file_path").alias("file"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    heads = placed.groupBy("file").agg(F.min_by("record", "place").alias("head"))
+    return heads.select("head").distinct().limit(2).count() <= 1
+
+
+# A line that is a record whichever way the file is read. Its fields have no quotes, or are quoted from
+# first to last character with doubled quotes inside; no carriage return, no comment, not only white space. Possessive
+# quantifiers take no stack, however long the line.
+RECORD_LINE = (
+    r'^(?![\x00-\x20]+\z)(?!\x00)(?:"(?:[^"\r]|"")*+"|[^",\r\uFEFF]*+)(?:,(?:"(?:[^"\r]|"")*+"|[^",\r]*+))*+\z'
+)
+
+
+def lines_are_records(spark: SparkSession, path: str) -> bool:
+    """Whether reading the file line by line is sure to give the same rows as reading it whole."""
+    return spark.read.text(path, lineSep="\n").filter(~F.col("value").rlike(RECORD_LINE)).isEmpty()
 
 
 def read_table(spark: SparkSession, path: str, table_format: str = "parquet") -> DataFrame:

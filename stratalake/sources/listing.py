@@ -41,6 +41,27 @@ def qualified(spark: SparkSession, uri: str) -> str:
     return fs.makeQualified(path).toString().rstrip("/")
 
 
+def remove(spark: SparkSession, uri: str) -> None:
+    """Deletes what is at ``uri``, if anything."""
+    fs, path = _file_system(spark, uri)
+    fs.delete(path, True)
+
+
+def swap(spark: SparkSession, new: str, uri: str, old: str) -> None:
+    """Puts ``new`` in the place of ``uri``, which goes to ``old`` meanwhile and comes back if the second rename fails."""
+    fs, target = _file_system(spark, uri)
+    fresh, former = _file_system(spark, new)[1], _file_system(spark, old)[1]
+    there = fs.exists(target)
+    if there and not fs.rename(target, former):
+        raise OSError(f"{uri} cannot be moved")
+    if not fs.rename(fresh, target):
+        if there:
+            fs.rename(former, target)
+        raise OSError(f"{new} cannot be moved to {uri}")
+    if there:
+        fs.delete(former, True)
+
+
 def scratch_directory(spark: SparkSession, uri: str) -> str:
     """A new directory that the driver's JVM deletes when it ends."""
     fs, path = _file_system(spark, uri)
@@ -59,4 +80,4 @@ def landing_tables(spark: SparkSession, layout: LakeLayout) -> list[str]:
 
 
 def bronze_tables(spark: SparkSession, layout: LakeLayout) -> list[str]:
-    return [name for name, is_directory in entries(spark, layout.bronze) if is_directory]
+    return [name for name, is_directory in entries(spark, layout.bronze) if is_directory and not name.startswith(("_", "."))]

@@ -34,11 +34,11 @@ def test_one_row_per_document_with_the_union_of_keys(spark, source):
     docs = source.read(spark, "docs")
     assert sorted(docs.columns) == ["_id", "name", "x", "y", "z"]
     assert rows(docs.select("_id", "x", "y", "z", "name")) == [
-        ("64f0c2", 1, "[1,2]", None, None),
-        ("64f0c3", None, None, '{"q":"say \\"hi\\"\\n"}', "é"),
-        ("64f0c4", 3, None, "{}", None),
+        ("64f0c2", "1", "[1, 2]", None, None),
+        ("64f0c3", None, None, '{"q": "say \\"hi\\"\\n"}', "é"),
+        ("64f0c4", "3", None, "{}", None),
     ]
-    assert rows(source.read(spark, "more")) == [(None, "t"), (1, None)]
+    assert rows(source.read(spark, "more")) == [(None, "t"), ("1", None)]
 
 
 def test_through_landing_and_back(spark, source, layout):
@@ -71,11 +71,41 @@ def test_empty_collection(spark, tmp_path, layout):
     assert rows(results.select("table_name", "status", "rows_written")) == [("none", "written", 0)]
 
 
-def test_connector_source_names_its_collections(spark):
-    source = DocumentSource.over_connector("mongodb", {"connection.uri": "x"}, ["a", "b"])
+def test_connector_source_names_its_collections_and_their_schemas(spark):
+    source = DocumentSource.over_connector("mongodb", {"connection.uri": "x"}, ["a", "b"], {"a": "x bigint"})
     assert source.tables(spark) == ["a", "b"]
     with pytest.raises(Exception, match="mongodb"):
         source.read(spark, "a")
+    with pytest.raises(ValueError, match="schema"):
+        source.read(spark, "b")
+
+
+def test_documents_that_span_lines_need_a_schema(spark, tmp_path):
+    (tmp_path / "wide.json").write_text('[{"a": 1},\n {"a": 2}]')
+    with pytest.raises(ValueError, match="schema"):
+        DocumentSource(str(tmp_path), options={"multiLine": "true"}).read(spark, "wide")
+    typed = DocumentSource(str(tmp_path), options={"multiLine": "true"}, schemas={"wide": "a bigint"})
+    assert rows(typed.read(spark, "wide")) == [(1,), (2,)]
+
+
+def test_no_key_or_digit_is_lost(spark, tmp_path):
+    lines = [
+        '{"Name":"x","n":1,"t":true,"b":false,"o":{"k":null,"m":1.50}}',
+        '{"name":"y","n":1.50,"t":"true","o":[1,2.0,null]}',
+        '{"NAME":null,"n":123456789012345678901234567890123456789012345,"name__2":"z"}',
+        "  ",
+    ]
+    (tmp_path / "odd.json").write_text("\n".join(lines))
+    odd = DocumentSource(str(tmp_path)).read(spark, "odd")
+    assert len({c.lower() for c in odd.columns}) == len(odd.columns) == 8
+    shown = sorted(tuple(v for v in row if v is not None) for row in odd.collect())
+    assert sorted(map(sorted, shown)) == sorted(
+        [
+            sorted(["x", "1", "true", "False", '{"k":null,"m":1.50}']),
+            sorted(["y", "1.50", "true", "[1,2.0,null]"]),
+            sorted(["123456789012345678901234567890123456789012345", "z"]),
+        ]
+    )
 
 
 def test_probe(spark, source):

@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 
 from stratalake import DocumentSource, read_landing
 from stratalake.sinks.landing import write_landing
-from stratalake.sources.files import records_fit_in_lines
+from stratalake.sources.files import lines_are_records
 from tests.conftest import rows
 
 AWKWARD = [
@@ -153,5 +153,34 @@ def test_large_file_of_one_line_records_is_read_in_pieces_with_the_same_rows(spa
 )
 def test_records_over_several_lines_are_noticed(spark, path, content, fits):
     write_file(path, content)
-    assert records_fit_in_lines(spark, path) is fits
+    assert lines_are_records(spark, path) is fits
     assert rows(read_landing(spark, path, large_file=1)) == rows(read_landing(spark, path))
+
+
+def test_size_does_not_decide_which_rows_come_out(spark, tmp_path):
+    for n, text in enumerate(
+        ['a,b\nx"y,"c\nd",z"w\n1,2\n', 'a,b\n"x""y",c\n"",\n', "a\n b \n\nc", 'a,b\n"p\nq",r\n', '\ufeffa,b\n1,2\n', "a,b\r\n1,2\r\n"]
+    ):
+        path = tmp_path / f"t{n}.csv"
+        path.write_bytes(text.encode())
+        whole, pieces = (read_landing(spark, str(path), large_file=size) for size in (1 << 40, 1))
+        assert whole.columns == pieces.columns and rows(whole) == rows(pieces), text
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.text(st.sampled_from('a1,"\n\r \x00\ufeff\t'), max_size=30))
+def test_any_bytes_give_the_same_rows_whatever_the_size(spark, tmp_path, text):
+    path = tmp_path / f"{abs(hash(text))}.csv"
+    path.write_bytes(b"a,b\n" + text.encode())
+    whole, pieces = (read_landing(spark, str(path), large_file=size) for size in (1 << 40, 1))
+    assert rows(whole) == rows(pieces)
+
+
+def test_swapped_headers_stop_the_read(spark, tmp_path):
+    for names in (("a,b", "b,a"), ("a0,b", "b,a0")):
+        folder = tmp_path / names[0]
+        folder.mkdir()
+        for name in names:
+            (folder / f"{name}.csv").write_text(f"{name}\n1,2\n")
+        with pytest.raises(Exception, match="(?i)header"):
+            read_landing(spark, str(folder)).collect()

@@ -131,3 +131,14 @@ def test_directory_of_table_files_is_a_source(spark, tmp_path):
     assert source.tables(spark) == ["a", "b"]
     assert source.read(spark, "b").count() == 3
     assert rows(source.probe(spark)) == [(1,)]
+
+
+def test_a_failed_write_leaves_the_former_rows(spark, tmp_path):
+    path = str(tmp_path / "layer" / "table")
+    write_layer(spark.range(5), path)
+    with pytest.raises(Exception, match="(?i)divi"):
+        write_layer(spark.range(9).selectExpr("id div (id - id) AS id"), path)
+    assert read_table(spark, path).count() == 5
+    write_layer(spark.range(7), path)
+    assert read_table(spark, path).count() == 7
+    assert [p.name for p in (tmp_path / "layer").iterdir() if not p.name.startswith(".")] == ["table"]

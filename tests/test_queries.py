@@ -33,7 +33,7 @@ def database():
 
 def test_every_operator_is_registered():
     assert set(OPERATORS) <= set(queries())
-    assert set(QUERIES) - set(ORACLES) == {"preview_rows"}
+    assert set(QUERIES) == set(ORACLES)
     assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
@@ -42,13 +42,6 @@ def test_query_gives_the_rows_of_its_sql(spark, database, name):
     assert differences(QUERIES[name](spark, SF_DIR), database, ORACLES[name]) is None
 
 
-def test_preview_shows_rows_of_the_table(spark):
-    shown = queries()["preview_rows"](spark, SF_DIR)
-    events = spark.read.parquet(f"{SF_DIR}/events.parquet")
-    assert shown.count() == 20
-    assert shown.join(events, shown.columns, "left_semi").count() == 20
-
-
 def test_entry_has_rows(spark):
     assert entry(spark).count() > 0
 

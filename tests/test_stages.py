@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from pathlib import Path
 
 import pytest
@@ -14,12 +15,15 @@ from stratalake import (
     bronze_to_silver,
     extract_to_landing,
     landing_to_bronze,
+    read_landing,
     read_table,
     run_pipeline,
 )
 from stratalake.checks.database import load_database
 from stratalake.checks.workspace import new_folder
-from stratalake.plans.sizing import BYTES_PER_TASK, INITIAL_PARTITIONS, MOST_TASKS, reduce_tasks, shuffles_sized_for
+from stratalake.operators.cleaning import dedupe_rows
+from stratalake.plans.sizing import BYTES_PER_TASK, INITIAL_PARTITIONS, MOST_TASKS, reduce_tasks, session_sized_for
+from stratalake.sinks.landing import rows_for, write_landing
 from stratalake.sinks.layers import write_layer
 from tests.conftest import STAMP, rows
 
@@ -166,17 +170,56 @@ def test_shuffles_grow_with_the_input_within_bounds():
     assert reduce_tasks(100 * 1024**4, 200) == MOST_TASKS
 
 
-def test_shuffle_setting_is_put_back_and_the_users_own_respected(spark):
-    with shuffles_sized_for(spark, BYTES_PER_TASK * 50) as tasks:
-        assert tasks == 50 and spark.conf.get(INITIAL_PARTITIONS) == "50"
+def test_each_table_has_its_own_shuffle_setting_and_the_users_own_is_respected(spark):
+    small, large = session_sized_for(spark, 1), session_sized_for(spark, BYTES_PER_TASK * 50)
+    assert small.conf.get(INITIAL_PARTITIONS) == "8" and large.conf.get(INITIAL_PARTITIONS) == "50"
+    assert large.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
     assert spark.conf.get(INITIAL_PARTITIONS, None) is None
     spark.conf.set(INITIAL_PARTITIONS, 7)
-    with shuffles_sized_for(spark, BYTES_PER_TASK * 50) as tasks:
-        assert tasks == 7
-    assert spark.conf.get(INITIAL_PARTITIONS) == "7"
+    assert session_sized_for(spark, BYTES_PER_TASK * 50).conf.get(INITIAL_PARTITIONS) == "7"
     spark.conf.unset(INITIAL_PARTITIONS)
 
 
+def test_silver_shuffles_into_as_many_partitions_as_the_session_of_the_table_says(spark, layout):
+    path = layout.bronze_path("rows")
+    spark.range(1000).selectExpr("CAST(id % 10 AS STRING) AS a").write.parquet(path)
+    plans = []
+    for stored in (1, BYTES_PER_TASK * 50):
+        silver = dedupe_rows(session_sized_for(spark, stored).read.parquet(path))
+        plans.append(silver._jdf.queryExecution().executedPlan().toString())
+    assert "hashpartitioning(a" in plans[0]
+    counts = [int(re.search(r"hashpartitioning\([^)]*, (\d+)\)", plan)[1]) for plan in plans]
+    assert counts == [8, 50]
+
+
+def test_wide_rows_land_in_files_of_about_the_goal(spark, layout):
+    rows_ = spark.range(4000).selectExpr("id", "repeat('x', 5000) AS text").coalesce(1)
+    goal = 4 * 1024 * 1024
+    write_landing(rows_, layout.landing_path("wide"), rows_for(rows_, goal))
+    folder = Path(layout.landing_path("wide"))
+    sizes = [f.stat().st_size for f in folder.glob("part-*")]
+    assert len(sizes) >= 4 and max(sizes) <= 2 * goal
+    assert read_landing(spark, str(folder)).count() == 4000
+
+
+def test_pipeline_passes_the_policy_on(spark, layout, tmp_path):
+    class Half:
+        def tables(self, spark):
+            return ["bad", "good"]
+
+        def read(self, spark, table):
+            if table == "bad":
+                raise RuntimeError("no such table")
+            return spark.range(100).selectExpr("id AS a")
+
+    results = run_pipeline(spark, Half(), layout, on_error="continue", rows_per_file=10, parallelism=1)
+    assert {(r["stage"], r["table_name"], r["status"]) for r in results.collect()} >= {
+        ("extract", "bad", "failed"),
+        ("silver", "good", "written"),
+    }
+    assert len(list(Path(layout.landing_path("good")).glob("part-*"))) >= 10
+
+
 def test_scratch_folders_lie_in_the_sessions_shared_directory(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = new_folder(spark, "x"), new_folder(spark, "x")
