@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stratalake.llm.common import let
 
 #: A paragraph's leaves: 8, 8 and 16 code points, then 32 each, so that short paragraphs have several too.
-LEAF = r"\A[\s\S]{1,8}|(?<=\A[\s\S]{8})[\s\S]{1,8}|(?<=\A[\s\S]{16})[\s\S]{1,16}|[\s\S]{1,32}"
+FIRST_LEAVES, LATER_LEAF = [(1, 8), (9, 8), (17, 16)], r"[\s\S]{1,32}"
 #: Documents in a bucket of ids, about, and the most buckets there are.
 BUCKET_ROWS, MAX_BUCKETS = 1000, 16_384
 
@@ -24,7 +24,9 @@ def fingerprint(text: Column) -> Column:
     """
 
     def leaves(paragraph: Column) -> Column:
-        found = F.regexp_extract_all(paragraph, F.lit(LEAF), F.lit(0))
+        first = F.array(*(F.substring(paragraph, at, n) for at, n in FIRST_LEAVES))
+        later = F.regexp_extract_all(F.substr(paragraph, F.lit(33)), F.lit(LATER_LEAF), F.lit(0))
+        found = F.concat(F.filter(first, lambda leaf: leaf != ""), later)
         return F.array_join(F.transform(found, lambda leaf: F.substring(F.md5(leaf), 1, 8)), ".")
 
     def separated(parts: Column, node: Column) -> Column:
