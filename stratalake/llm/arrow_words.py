@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are taken apart at once (or one text, if it is longer).
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -91,7 +91,7 @@ def train(
 class Scorer:
     """Scores words by a model; a limited number of scores is kept."""
 
-    KEPT = 200_000
+    KEPT = 60_000
 
     def __init__(self, model: LanguageModel):
         self.model = model
