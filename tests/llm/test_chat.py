@@ -1,0 +1,80 @@
+"""Reply trees: the best paths, formatted and read back."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+
+from hypothesis import given
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from stratalake.llm.chat import chain, format_conversations, format_turns, ranked_paths, read_conversations, read_turns, unescape
+
+TEXT = st.text(st.sampled_from("ab\\#:<>/ \nturn é😀bhcl"), max_size=40)
+
+
+@given(st.lists(st.tuples(TEXT, TEXT), max_size=6))
+def test_template_is_reversible(turns):
+    formatted, _ = format_turns(turns)
+    assert read_turns(formatted) == turns
+
+
+@given(st.lists(st.tuples(st.sampled_from(["assistant", "user"]), TEXT), max_size=6))
+def test_mask_covers_the_assistants_texts(turns):
+    formatted, spans = format_turns(turns)
+    assert [unescape(formatted[a:b]) for a, b in spans] == [t for r, t in turns if r == "assistant"]
+
+
+def test_conversations(spark):
+    rows = [(1, 1, "assistant", "b"), (1, 0, "user", "a"), (2, 0, None, None), (None, 0, "user", "x"), (None, None, "assistant", "y")]
+    rows += [(3, i, ("user", "assistant")[i % 2], f"t{i} ###" * 3) for i in range(300)] + [(4, 0, "user", "dup")] * 2 + [(5, 0, "assistant", "")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("node", F.lit(1)).withColumn("tree", F.lit(""))
+    got = {r["conv_id"]: r for r in read_conversations(format_conversations(chain(table))).collect()}
+    assert got.keys() == {1, 2, 3, 4, 5, None}
+    for conv, row in got.items():
+        turns = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is None, r[1] or 0, r[2] or "", r[3] or ""))
+        whole = "".join(f"{r or ''}\n{t or ''}\n" for _, _, r, t in turns)
+        loss = "".join(t for _, _, r, t in turns if r == "assistant")
+        assert row["n_turns"] == len(turns) and row["loss_chars"] == len(loss)
+        assert row["turns_sha256"] == hashlib.sha256(whole.encode()).hexdigest()
+        assert row["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
+        assert row["formatted_chars"] == len(format_turns([(r or "", t or "") for _, _, r, t in turns])[0])
+
+
+def best_paths(nodes, branches):
+    parent = {n: p for n, p, _ in nodes}
+    score = {n: s or 0.0 for n, _, s in nodes}
+    paths = []
+    for leaf in set(parent) - {p for p in parent.values() if p is not None}:
+        path, at = [], leaf
+        while at in parent and at not in path:
+            path.append(at)
+            at = parent[at]
+        if at is None or at not in path:
+            paths.append((-sum(score[n] for n in path), leaf, path))
+    return {rank: p for rank, (_, _, p) in enumerate(sorted(paths)[:branches], 1)}
+
+
+def test_trees_as_brute_force(spark):
+    pick, rows, want = random.Random(2), [], {}
+    for tree in range(12):
+        n = pick.choice([1, 2, 30, 90])
+        nodes = [(k, None if k == 0 or pick.random() < 0.03 else pick.randrange(max(0, k - 3), k), pick.choice([None, 1.0, -0.5, 0.25])) for k in range(n)]
+        if tree == 3:
+            nodes += [(500, 501, 9.0), (501, 500, 9.0), (502, 500, 9.0), (600, 999, 0.5)]  # a cycle, a missing parent
+        rows += [(str(tree), *node) for node in nodes]
+        want[str(tree)] = best_paths(nodes, 3)
+    nodes = spark.createDataFrame(rows, "tree string, node long, parent long, score double")
+    got = {}
+    for r in ranked_paths(nodes, 3).collect():
+        got.setdefault(r["tree"], {}).setdefault(r["rank"], {})[r["up"]] = r["node"]
+    assert {t: {k: [p[u] for u in sorted(p)] for k, p in ranks.items()} for t, ranks in got.items()} == want
+
+
+def test_branches_of_a_tree_are_conversations(spark):
+    rows = [(1, "t", 0, None, 0.0, "user", "q"), (1, "t", 1, 0, 0.1, "assistant", "bad"), (1, "t", 2, 0, 0.9, "assistant", "good")]
+    nodes = spark.createDataFrame(rows, "conv_id long, tree string, node long, parent long, score double, role string, text string")
+    got = {r["rank"]: r["formatted"] for r in format_conversations(nodes, 2).collect()}
+    assert [read_turns(got[k])[1][1] for k in (1, 2)] == ["good", "bad"]
+    assert format_conversations(nodes.limit(0)).count() == 0

@@ -1,0 +1,65 @@
+"""Benchmark passages in documents."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratalake.llm.decontamination import contamination
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+def brute(docs, items, size):
+    windows = {}
+    for item, text in items:
+        w = words(text)
+        k = min(size, len(w))
+        for at in range(len(w) - k + 1 if k else 0):
+            windows.setdefault(tuple(w[at : at + k]), set()).add("null" if item is None else str(item))
+    out = []
+    for doc_id, text in docs:
+        w, hit, found = words(text), set(), set()
+        for window, names in windows.items():
+            for at in range(len(w) - len(window) + 1):
+                if tuple(w[at : at + len(window)]) == window:
+                    hit |= set(range(at, at + len(window)))
+                    found |= names
+        out.append((doc_id, len(w), len(hit), sorted(found), bool(hit)))
+    return sorted(out, key=str)
+
+
+ITEM = "One two, three four five six seven eight nine ten eleven twelve."
+ITEMS = [(1, ITEM), (1, ITEM), (2, "short item é"), (3, None), (4, "..."), (None, "É one"), (5, "two three four five six seven eight nine ten eleven"), (10, "solo")]
+DOCS = [
+    (1, f"before {ITEM} after {ITEM.upper()}"),
+    (2, "one two three four five six seven eight nine"),
+    (3, "a Short-item É b short item é é one"),
+    (4, None),
+    (5, ""),
+    (None, "x SOLO y"),
+    (6, "solo " * 5000),
+    (6, "solo " * 5000),
+    (7, "clean words only"),
+]
+
+
+@pytest.mark.parametrize(("size", "most"), [(10, 100), (10, 0), (3, 100)])
+def test_as_brute_force(spark, size, most):
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string").withColumn("words", F.lit(1)).withColumn("h", F.lit(2))
+    items = spark.createDataFrame(ITEMS, "item_id long, text string").withColumn("k", F.lit(9)).withColumn("doc_id", F.lit(9))
+    got = contamination(docs, items, size, max_broadcast=most).collect()
+    assert sorted(map(tuple, got), key=str) == brute(DOCS, ITEMS, size)
+
+
+def test_empty_tables(spark):
+    docs, items = spark.createDataFrame(DOCS, "doc_id long, text string"), spark.createDataFrame([], "item_id long, text string")
+    assert not any(r["contaminated"] for r in contamination(docs, items).collect())
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    assert contamination(docs.limit(0), items).count() == 0

@@ -1,0 +1,54 @@
+"""Lines that many documents share."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratalake.llm.line_dedup import drop_shared_lines
+
+WHITE = " \t\n\x0b\x0c\r"
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(rows, least):
+    keys = [[line.strip(WHITE).translate(LOWER) for line in (text or "").split("\n")] for _, text in rows]
+    found = Counter(k for ks in keys for k in set(ks))
+    out = []
+    for (doc_id, text), ks in zip(rows, keys, strict=True):
+        lines = (text or "").split("\n")
+        kept = [line for line, k in zip(lines, ks, strict=True) if not (k and found[k] >= least)]
+        out.append((doc_id, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return sorted(out, key=str)
+
+
+ROWS = [
+    (1, "Shared\nown one\n\nshared "),
+    (2, " SHARED\r\nown two"),
+    (3, "shared"),
+    (3, "shared"),
+    (None, "\tshared\x0b\nÉtat\nétat"),
+    (4, None),
+    (5, ""),
+    (6, "shared\n" * 3000 + "end "),
+    (7, "É SHARED\n\n\n"),
+]
+
+
+@pytest.mark.parametrize("least", [1, 2, 4, 7, 100])
+def test_as_brute_force(spark, least):
+    docs = spark.createDataFrame(ROWS, "doc_id long, text string").withColumn("gone", F.lit(1)).withColumn("h1", F.lit("x"))
+    got = drop_shared_lines(docs, min_docs=least)
+    assert got.columns == ["doc_id", "n_lines", "n_dropped", "text"]
+    assert sorted(map(tuple, got.collect()), key=str) == brute(ROWS, least)
+
+
+def test_short_keys_stay(spark):
+    docs = spark.createDataFrame([(1, "ab\nabc"), (2, "AB\nABC")], "doc_id long, text string")
+    assert {r["text"] for r in drop_shared_lines(docs, 2, min_chars=3).collect()} == {"ab", "AB"}
+
+
+def test_empty_table(spark):
+    assert drop_shared_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0

@@ -1,0 +1,80 @@
+"""Fingerprints: equality by roots, edits by branches, the next document across buckets."""
+
+from __future__ import annotations
+
+import hashlib
+
+from pyspark.sql import functions as F
+
+from stratalake.llm import merkle
+from stratalake.llm.merkle import differing_paragraphs, fingerprint, fingerprints, likeness, with_next
+
+
+def md5(text):
+    return hashlib.md5(text.encode()).hexdigest()
+
+
+def tree(text):
+    """root and leaf hashes, by the definition."""
+    paragraphs = []
+    for line in (text or "").split("\n"):
+        cuts = [0, 8, 16, *range(32, max(33, len(line)), 32)]
+        leaves = [line[a:b] for a, b in zip(cuts, [*cuts[1:], len(line)], strict=True)]
+        paragraphs.append(".".join(md5(leaf)[:8] for leaf in leaves if leaf))
+    ends = [";" if md5(p)[0] in "0123" else "," for p in paragraphs]
+    hashes = "".join(md5(p) + e for p, e in zip(paragraphs, ends, strict=True))[:-1]
+    nodes = "".join(p + e for p, e in zip(paragraphs, ends, strict=True))[:-1]
+    return md5(";".join(md5(s) for s in hashes.split(";"))) + ":" + nodes
+
+
+def near(a, b):
+    if a[:32] == b[:32]:
+        return 1.0
+    one, two = ({x for x in p[33:].replace(";", ".").replace(",", ".").split(".") if x} for p in (a, b))
+    return len(one & two) / len(one | two) if one | two else 0.0
+
+
+TEXTS = ["", None, "a", "short text", "é" * 200, "l1\nl2\n\nl4\n" * 50, "😀 ab" * 30, "x" * 5000, "same", "same", "\n\n"]
+
+
+def check(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("bucket", F.lit(1)).withColumn("copy", F.lit(2))
+    got = fingerprints(docs.repartition(5)).collect()
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+    want = []
+    for i, (doc_id, text) in enumerate(order):
+        text, following = text or "", order[(i + 1) % len(order)][1] or ""
+        cut = len(text) // 4
+        edited = text[: len(text) - cut] + following[:cut]
+        a, b, c = tree(text), tree(edited), tree(following)
+        want.append((doc_id, len(text), edited, a, b, near(a, b), near(a, c)))
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_as_brute_force(spark):
+    check(spark, list(enumerate(TEXTS)))
+
+
+def test_buckets_join_up(spark, monkeypatch):
+    monkeypatch.setattr(merkle, "BUCKET_ROWS", 3)
+    rows = [(i * i - 40, f"text {i} " * (i % 7)) for i in range(60)]
+    check(spark, [*rows, (None, "no id"), (None, "none either"), (0, "tie"), (0, "tie"), (2**60, "far")])
+
+
+def test_single_and_empty(spark):
+    check(spark, [(5, "only one document here")])
+    assert fingerprints(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    assert with_next(spark.createDataFrame([(1, "a")], "doc_id long, text string")).first()["next_text"] == "a"
+
+
+def test_branches_tell_where_the_edit_is(spark):
+    lines = [f"paragraph number {i}" for i in range(40)]
+    other = [*lines[:7], "changed", *lines[8:30], "inserted", *lines[30:]]
+    row = spark.createDataFrame([("\n".join(lines), "\n".join(other))], "a string, b string").select(
+        fingerprint(F.col("a")).alias("a"), fingerprint(F.col("b")).alias("b")
+    )
+    places, same, back = row.select(
+        differing_paragraphs(F.col("a"), F.col("b")), differing_paragraphs(F.col("a"), F.col("a")), differing_paragraphs(F.col("b"), F.col("a"))
+    ).first()
+    assert places == [7] and same == [] and back == [7, 30]
+    assert 0.8 < row.select(likeness(F.col("a"), F.col("b"))).first()[0] < 1
