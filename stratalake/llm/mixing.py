@@ -12,7 +12,7 @@ from stratalake.llm.common import SPACED_WORD, let, numbered, scratch
 #: Words in a block. Small, so that quotas are fine even for a source of few words; blocks are never rows.
 BLOCK_WORDS = 16
 #: Words in a shard of a source, about: what one window has in memory, and how a large source is split.
-SHARD_WORDS = 1 << 22
+SHARD_WORDS = 1 << 17
 
 
 def word_count(text: Column) -> Column:
