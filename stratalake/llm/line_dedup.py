@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from stratalake.llm.common import WHITE, ascii_lower, let
 
+#: Parts that the occurrences of one line are dealt into when they meet the shared lines.
+SALTS = 16
+
 
 def line_key(line: Column) -> Column:
     return ascii_lower(F.btrim(line, F.lit(WHITE)))
@@ -33,8 +36,8 @@ def drop_shared_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -
     row repeats or the doc_id is null; a key that a text repeats counts once for it. A text that loses all lines becomes
     empty. An empty table gives no rows.
 
-    A shared line reaches the count once for each map task. The line hashes are then matched with the shared ones alone
-    (an outsized line is split by the skew join), and only positions go back to the texts, which are shuffled once.
+    A shared line reaches the count once for each map task. The line hashes are then matched with the shared ones alone,
+    a line's occurrences in `SALTS` parts, and only positions go back to the texts, which are shuffled once.
     """
     docs = docs.select("doc_id", "text")
     keys = F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), line_key)
@@ -49,9 +52,11 @@ def drop_shared_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -
     )
 
     placed = docs.select(*_row_key(), F.posexplode(keys).alias("at", "key")).where(F.length("key") >= min_chars)
+    salt = F.pmod("k2", F.lit(SALTS)).cast("int").alias("salt")
+    salted = shared.select("h1", "h2", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     dropped = (
-        placed.select("k1", "k2", "k3", "at", *_hashed(F.col("key")))
-        .join(shared, ["h1", "h2"], "left_semi")
+        placed.select("k1", "k2", "k3", "at", salt, *_hashed(F.col("key")))
+        .join(salted, ["h1", "h2", "salt"], "left_semi")
         .groupBy("k1", "k2", "k3")
         .agg(F.collect_set("at").alias("gone"))
     )
