@@ -1,0 +1,45 @@
+"""Registered operator queries against their SQL on the smallest given tables."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+import os
+import re
+
+import pytest
+
+from stratalake.llm.oracles import ORACLES
+from stratalake.llm.queries import QUERIES
+from tests.oracle import TESTDATA, connect, differences
+
+SF_DIR = f"{TESTDATA}/sf0.001"
+NATIVE = {"4", "5", "6", "8", "9"}
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="the given tables are not here")
+
+
+def number(name):
+    return re.match(r"op(\d+)_", name)[1]
+
+
+def test_one_query_for_each_operator():
+    assert sorted(map(number, QUERIES), key=int) == [str(n) for n in range(1, 11)]
+
+
+@pytest.fixture(scope="module")
+def database():
+    return connect(SF_DIR)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_gives_the_rows_of_its_sql(spark, database, name):
+    assert differences(QUERIES[name](spark, SF_DIR), database, ORACLES[name]) is None
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if number(n) in NATIVE))
+def test_native_plans_have_no_python_and_no_pair_joins(spark, name):
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        QUERIES[name](spark, SF_DIR).explain()
+    assert not any(word in text.getvalue() for word in ("Cartesian", "NestedLoop", "Python", "Arrow"))
