@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +17,8 @@ from stratalake.llm.components import components
 
 #: Counters of the frequency table (a power of two) and how many of them make a row while they are added up.
 COUNTERS, CHUNK = 1 << 20, 1 << 14
-#: Cells of the sketch that the suffix filter compares.
-CELLS = 128
+#: Cells of the sketch that the suffix filter compares, and the most n-grams of a set for which none overflows.
+CELLS, MOST_SKETCHED = 256, (1 << 15) - 1
 #: Ids of texts that may be broadcast to fetch their sets, 16 MB; more are joined by a shuffle.
 MAX_BROADCAST_IDS = 2_000_000
 #: Pivot rounds go on while more pairs than this many times the rows are open, and while they at least halve them.
@@ -67,43 +67,55 @@ def _counter(grams: np.ndarray) -> np.ndarray:
     return (grams >> np.uint64(64 - COUNTERS.bit_length() + 1)).astype(np.int64)
 
 
+def _sketch(grams: np.ndarray) -> np.ndarray | None:
+    if 0 < len(grams) <= MOST_SKETCHED:
+        return np.bincount((grams % np.uint64(CELLS)).astype(np.int64), minlength=CELLS).astype(np.int16)
+    return None
+
+
 def _signed(grams: np.ndarray) -> pa.Array:
     return pa.array(grams.view(np.int64))
 
 
 def _survey(docs: DataFrame, size: int) -> DataFrame:
-    """One row (doc_id, class, n) for each text, and for each task rows (chunk, counts) of its n-gram counters."""
+    """One row (doc_id, class, n, sketch) for each text, and for each task rows (chunk, counts) of its n-gram counters.
+
+    The sketch tells how many n-grams fall into each of `CELLS` cells; a class has it once in a task.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "class", "n", "chunk", "counts"]
+    names = ["doc_id", "class", "n", "sketch", "chunk", "counts"]
+    shorts = pa.list_(pa.int16())
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters, seen, ids = np.zeros(COUNTERS, np.uint32), set(), None
         for batch in batches:
             ids = batch.column("doc_id").type
             for piece in slices(batch):
-                classes, sizes, new = [], [], []
+                classes, sizes, sketches, new = [], [], [], []
                 for grams in shingle_sets(texts(piece), size):
                     classes.append(c := _class_of(grams))
                     sizes.append(len(grams))
+                    sketches.append(None)
                     if c not in seen:  # copies count once in a task
                         seen.add(c)
                         new.append(grams)
+                        sketches[-1] = _sketch(grams)
                 if new:
                     counters += np.bincount(_counter(np.concatenate(new)), minlength=COUNTERS).astype(np.uint32)
                 n = len(classes)
                 yield pa.record_batch(
-                    [piece.column("doc_id"), pa.array(classes, pa.int64()), pa.array(sizes, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
+                    [piece.column("doc_id"), pa.array(classes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(sketches, shorts), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
                     names=names,
                 )
         if ids is not None:
             chunks = [counters[at : at + CHUNK].tobytes() for at in range(0, COUNTERS, CHUNK)]
             n = len(chunks)
             yield pa.record_batch(
-                [pa.nulls(n, ids), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.array(range(n), pa.int32()), pa.array(chunks, pa.binary())],
+                [pa.nulls(n, ids), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, shorts), pa.array(range(n), pa.int32()), pa.array(chunks, pa.binary())],
                 names=names,
             )
 
-    return docs.mapInArrow(work, f"doc_id {kind}, class long, n int, chunk int, counts binary")
+    return docs.mapInArrow(work, f"doc_id {kind}, class long, n int, sketch array<smallint>, chunk int, counts binary")
 
 
 def _frequencies(chunks: DataFrame) -> np.ndarray:
@@ -178,27 +190,23 @@ def _shared_tokens(prefixes: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:
-    """class, n, the whole set and its sketch: how many n-grams fall into each of `CELLS` cells."""
+    """class and the whole set of n-grams."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for batch in batches:
             for piece in slices(batch):
-                classes, sets, cells = [], [], []
+                classes, sets = [], []
                 for grams in shingle_sets(texts(piece), size):
                     if len(grams) and (c := _class_of(grams)) not in seen:
                         seen.add(c)
                         classes.append(c)
                         sets.append(grams.view(np.int64))
-                        cells.append(np.bincount((grams % np.uint64(CELLS)).astype(np.int64), minlength=CELLS).astype(np.int32))
                 if classes:
-                    grams, sketch = (
-                        pa.ListArray.from_arrays(np.cumsum([0, *map(len, x)]).astype(np.int32), pa.array(np.concatenate(x)))
-                        for x in (sets, cells)
-                    )
-                    yield pa.record_batch([pa.array(classes, pa.int64()), sketch, grams], names=["class", "sketch", "grams"])
+                    grams = pa.ListArray.from_arrays(np.cumsum([0, *map(len, sets)]).astype(np.int32), pa.array(np.concatenate(sets)))
+                    yield pa.record_batch([pa.array(classes, pa.int64()), grams], names=["class", "grams"])
 
-    return docs.select("text").mapInArrow(work, "class long, sketch array<int>, grams array<bigint>")
+    return docs.select("text").mapInArrow(work, "class long, grams array<bigint>")
 
 
 def _needed(n: Column, m: Column, percent: int) -> Column:
@@ -220,29 +228,32 @@ def _pair(a: str, b: str) -> list[Column]:
     return [low["c"].alias("u"), high["c"].alias("v"), low["n"].alias("n"), high["n"].alias("m")]
 
 
+def _after_suffix_filter(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v, n, m) whose sketches allow enough common n-grams; those of sets without a sketch stay."""
+    a, b = (sketches.select(F.col("class").alias(x), F.col("sketch").alias(f"s{x}")) for x in ("u", "v"))
+    both = pairs.join(a, "u", "left").join(b, "v", "left")
+    common = F.aggregate(F.zip_with("su", "sv", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y.cast("int"))
+    enough = common >= _needed(F.col("n"), F.col("m"), percent)
+    return both.where(F.coalesce(enough, F.lit(True))).select("u", "v", "n", "m")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v, n, m) with `linked`; the suffix filter's sketches go before the sets."""
-    sketches = sets.select("class", "sketch")
-    near = pairs.join(sketches.select(F.col("class").alias("u"), F.col("sketch").alias("su")), "u").join(
-        sketches.select(F.col("class").alias("v"), F.col("sketch").alias("sv")), "v"
-    )
-    common = F.aggregate(F.zip_with("su", "sv", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
-    near = near.where(common >= _needed(F.col("n"), F.col("m"), percent)).select("u", "v", "n", "m")
-    grams = sets.select("class", "grams")
-    both = near.join(grams.select(F.col("class").alias("u"), F.col("grams").alias("gu")), "u").join(
-        grams.select(F.col("class").alias("v"), F.col("grams").alias("gv")), "v"
-    )
+    """The pairs (u, v) that the whole sets link."""
+    a, b = (sets.select(F.col("class").alias(x), F.col("grams").alias(f"g{x}")) for x in ("u", "v"))
     overlap = F.size(F.array_intersect("gu", "gv"))
-    sized = both.select("u", "v", (F.col("n") + F.col("m")).alias("sum"), overlap.alias("both"))
-    return sized.where(100 * F.col("both") >= percent * (F.col("sum") - F.col("both"))).select("u", "v")
+    sized = pairs.join(a, "u").join(b, "v").select("u", "v", (F.col("n") + F.col("m")).alias("sum"), overlap.alias("both"))
+    return sized.where(100 * F.col("both") >= percent * (F.col("sum") - F.col("both"))).select("u", "v").distinct()
 
 
-def _links(live: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _links(
+    live: DataFrame, sketches: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int
+) -> DataFrame:
     """Links between classes that join all that are connected; pairs that are known to be connected are not compared.
 
     In each round every token's row with the least seeded hash is compared with the token's other rows of another
     component, and then leaves the token. Families of near copies so grow together after comparisons in proportion
     to their rows. When few pairs are left open, or a round no longer halves them, all open pairs are compared.
+    Comparing takes the sketches first; `fetch` gives the sets of the classes that are left.
     """
     links, tested, before, step = None, None, None, 0
     rows = live.withColumn("label", F.col("class"))
@@ -275,7 +286,9 @@ def _links(live: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         if tested is not None:
             pairs = pairs.join(tested, ["u", "v"], "left_anti")
         pairs = scratch(pairs, "pairs")
-        new = scratch(_verified(pairs, sets, percent), "links")
+        near = scratch(_after_suffix_filter(pairs, sketches, percent), "near-pairs")
+        sets = fetch(near.select(F.explode(F.array("u", "v")).alias("class")).distinct())
+        new = scratch(_verified(near, sets, percent), "links")
         links = new if links is None else links.unionByName(new)
         if last:
             break
@@ -302,7 +315,8 @@ def similar_groups(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFra
 
     Texts with equal sets are one class. N-grams are ordered by a table of hashed counts over all texts, of fixed size:
     any order gives the same links, and frequent n-grams go last. Classes that share a token of their prefixes are
-    compared (see `_links`), each pair once. Only prefixes are shuffled, and the sets of classes that share tokens.
+    compared (see `_links`), each pair once. Only prefixes and sketches are
+    shuffled, and the sets of classes whose sketches are alike.
     """
     docs = docs.select("doc_id", "text")
     survey = scratch(_survey(docs, size), "survey")
@@ -310,13 +324,17 @@ def similar_groups(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFra
     frequencies = _frequencies(survey.where("chunk is not null").select("chunk", "counts"))
     live = scratch(_shared_tokens(_prefixes(docs, size, percent, frequencies)), "shared-tokens")
 
-    shared_classes = live.select("class").distinct()
-    chosen = members.join(shared_classes, "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    chosen = scratch(chosen.select(F.col("doc_id").alias("id")).distinct(), "chosen")
-    ids = F.broadcast(chosen) if chosen.count() <= MAX_BROADCAST_IDS else chosen
-    sets = scratch(_sets(docs.join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi"), size), "sets")
+    sketches = survey.where("sketch is not null").select("class", "sketch").dropDuplicates(["class"])
+    sketches = scratch(sketches, "sketches")
+
+    def fetch(classes: DataFrame) -> DataFrame:
+        chosen = members.join(classes, "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
+        chosen = scratch(chosen.select(F.col("doc_id").alias("id")).distinct(), "chosen")
+        ids = F.broadcast(chosen) if chosen.count() <= MAX_BROADCAST_IDS else chosen
+        found = _sets(docs.join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi"), size)
+        return scratch(found, "sets")
 
-    roots = components(_links(live, sets, percent)).select(F.col("node").alias("class"), "root")
+    roots = components(_links(live, sketches, fetch, percent)).select(F.col("node").alias("class"), "root")
     placed = members.join(roots, "class", "left").select(
         "doc_id", "n", F.when(F.col("n") > 0, F.coalesce("root", "class")).alias("root")
     )
