@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratalake.checks.workspace import new_folder
+from stratalake.sources.listing import remove
 
 #: The white space of all contracts: space and U+0009 to U+000D.
 WHITE = " \t\n\x0b\x0c\r"
@@ -38,6 +39,13 @@ def scratch(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Removes the files of scratch tables that nothing will read any more."""
+    for df in tables:
+        for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+            remove(df.sparkSession, folder)
+
+
 def numbered(df: DataFrame, order: Sequence[Column], purpose: str, name: str = "place") -> DataFrame:
     """Adds each row's place (from 1) in the order, without one task that sees all rows.
 

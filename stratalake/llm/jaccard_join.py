@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm.arrow_words import SpacedWords, slices, texts
-from stratalake.llm.common import scratch
+from stratalake.llm.common import discard, scratch
 from stratalake.llm.components import components
 
 #: Counters of the frequency table (a power of two) and how many of them make a row while they are added up.
@@ -255,7 +255,7 @@ def _links(
     to their rows. When few pairs are left open, or a round no longer halves them, all open pairs are compared.
     Comparing takes the sketches first; `fetch` gives the sets of the classes that are left.
     """
-    links, tested, before, step = None, None, None, 0
+    links, tested, before, step, last_rows = None, None, None, 0, live
     rows = live.withColumn("label", F.col("class"))
     while True:
         counts = rows.groupBy("token", "label").agg(F.count("*").alias("k"))
@@ -266,6 +266,8 @@ def _links(
             .where("open > 0")
         )
         open_rows = scratch(rows.join(mixed.select("token", "most", "open"), "token"), "open-rows")
+        discard(last_rows)
+        last_rows = open_rows
         n_rows, n_pairs = open_rows.agg(F.count("*"), F.sum("open")).first()
         n_pairs = open_rows.select("token", "open").distinct().agg(F.sum("open")).first()[0] if n_rows else 0
         if not n_rows:
@@ -289,8 +291,10 @@ def _links(
         near = scratch(_after_suffix_filter(pairs, sketches, percent), "near-pairs")
         sets = fetch(near.select(F.explode(F.array("u", "v")).alias("class")).distinct())
         new = scratch(_verified(near, sets, percent), "links")
+        discard(near, sets)
         links = new if links is None else links.unionByName(new)
         if last:
+            discard(open_rows)
             break
         tested = pairs.select("u", "v") if tested is None else tested.unionByName(pairs.select("u", "v"))
         roots = components(links).select(F.col("node").alias("class"), "root")
@@ -301,7 +305,8 @@ def _links(
             .withColumn("label", F.coalesce("root", "class"))
             .drop("root")
         )
-    return links if links is not None else live.select(F.col("class").alias("u"), F.col("class").alias("v")).limit(0)
+    none = live.sparkSession.range(0).select(F.col("id").alias("u"), F.col("id").alias("v"))
+    return links if links is not None else none
 
 
 def similar_groups(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFrame:
