@@ -87,11 +87,12 @@ def ranked_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
     )
     steps, longest = [step], base.groupBy("tree").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     while (1 << (len(steps) - 1)) < longest and steps[-1].where("up is not null").limit(1).count():
-        a, b = steps[-1].alias("a"), steps[-1].alias("b")
-        doubled = a.join(b, (F.col("a.tree") == F.col("b.tree")) & (F.col("a.up") == F.col("b.node")), "left").select(
-            "a.tree", "a.node", F.col("b.up").alias("up"), (F.col("a.total") + F.coalesce("b.total", F.lit(0.0))).alias("total")
+        # nodes that have reached their root stay as they are; only the others are joined
+        a, b = steps[-1].where("up is not null").alias("a"), steps[-1].alias("b")
+        further = a.join(b, (F.col("a.tree") == F.col("b.tree")) & (F.col("a.up") == F.col("b.node"))).select(
+            "a.tree", "a.node", "b.up", (F.col("a.total") + F.col("b.total")).alias("total")
         )
-        steps.append(scratch(doubled, "steps"))
+        steps.append(scratch(steps[-1].where("up is null").unionByName(further), "steps"))
 
     rooted = steps[-1].where("up is null")
     leaves = rooted.join(base.select("tree", F.col("parent").alias("node")).where("node is not null"), ["tree", "node"], "left_anti")
