@@ -21,8 +21,10 @@ COUNTERS, CHUNK = 1 << 20, 1 << 14
 CELLS, MOST_SKETCHED = 256, (1 << 15) - 1
 #: Ids of texts that may be broadcast to fetch their sets, 16 MB; more are joined by a shuffle.
 MAX_BROADCAST_IDS = 2_000_000
+#: Tokens of at most so many classes have all their pairs filtered at once; larger ones go by pivots.
+SMALL_TOKEN = 16
 #: Pivot rounds go on while more pairs than this many times the rows are open, and while they at least halve them.
-OPEN_PAIRS = 4
+OPEN_PAIRS = 1
 FACTOR = np.uint64(0x9E3779B97F4A7C15)  # odd
 
 
@@ -250,14 +252,33 @@ def _links(
 ) -> DataFrame:
     """Links between classes that join all that are connected; pairs that are known to be connected are not compared.
 
-    In each round every token's row with the least seeded hash is compared with the token's other rows of another
-    component, and then leaves the token. Families of near copies so grow together after comparisons in proportion
-    to their rows. When few pairs are left open, or a round no longer halves them, all open pairs are compared.
-    Comparing takes the sketches first; `fetch` gives the sets of the classes that are left.
+    Tokens of few classes give all their pairs that pass the filters. Of larger tokens, in each round every token's row
+    with the least seeded hash is compared with the token's other rows of another component, and then leaves the token;
+    families of near copies so grow together after comparisons in proportion to their rows. When few pairs are left
+    open, or a round no longer halves them, all open pairs are compared. Comparing takes the sketches first; `fetch` gives
+    the sets of the classes that are left. No pair is compared twice.
     """
-    links, tested, before, step, last_rows = None, None, None, 0, live
-    rows = live.withColumn("label", F.col("class"))
-    while True:
+    sizes = live.groupBy("token").agg(F.count("*").alias("k"))
+    large = scratch(live.join(sizes.where(F.col("k") > SMALL_TOKEN).select("token"), "token", "left_semi"), "large-tokens")
+    small = live.join(sizes.where(F.col("k") <= SMALL_TOKEN).select("token"), "token", "left_semi")
+    a, b = small.alias("a"), small.alias("b")
+    few = (F.col("a.token") == F.col("b.token")) & (F.col("a.class") < F.col("b.class")) & _passes("a", "b", percent)
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        near = scratch(_after_suffix_filter(pairs, sketches, percent), "near-pairs")
+        sets = fetch(near.select(F.explode(F.array("u", "v")).alias("class")).distinct())
+        links = scratch(_verified(near, sets, percent), "links")
+        discard(near, sets)
+        return links
+
+    tested = scratch(a.join(b, few).select(*_pair("a", "b")).distinct(), "pairs")
+    links = compared(tested)
+    discard(live)
+    before, step, last_rows, rows = None, 0, large, large
+    while step or large.limit(1).count():
+        # components so far are the labels; a class without links is its own
+        roots = components(links).select(F.col("node").alias("class"), "root")
+        rows = rows.join(roots, "class", "left").withColumn("label", F.coalesce("root", "class")).drop("root")
         counts = rows.groupBy("token", "label").agg(F.count("*").alias("k"))
         k = F.col("k").cast("double")
         mixed = (
@@ -268,8 +289,8 @@ def _links(
         open_rows = scratch(rows.join(mixed.select("token", "most", "open"), "token"), "open-rows")
         discard(last_rows)
         last_rows = open_rows
-        n_rows, n_pairs = open_rows.agg(F.count("*"), F.sum("open")).first()
-        n_pairs = open_rows.select("token", "open").distinct().agg(F.sum("open")).first()[0] if n_rows else 0
+        by_token = open_rows.groupBy("token").agg(F.count("*").alias("k"), F.first("open").alias("open"))
+        n_rows, n_pairs = by_token.agg(F.sum("k"), F.sum("open")).first()
         if not n_rows:
             break
         last = n_pairs <= OPEN_PAIRS * n_rows or (before is not None and n_pairs > before / 2)
@@ -278,35 +299,21 @@ def _links(
             # the rows of a token's largest component are on one side only
             a, b = open_rows.where("label <> most").alias("a"), open_rows.alias("b")
             once = (F.col("b.label") == F.col("b.most")) | (F.col("a.class") < F.col("b.class"))
-            found = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.label") != F.col("b.label")) & once & _passes("a", "b", percent))
         else:
             turn = F.struct(F.xxhash64(F.lit(step), "class"), "class")
             pivots = open_rows.groupBy("token").agg(F.min_by(F.struct("class", "n", "pos", "label"), turn).alias("p"))
-            a, b = open_rows.alias("a"), pivots.select("token", "p.*").alias("b")
-            found = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.label") != F.col("b.label")) & _passes("a", "b", percent))
-        pairs = found.select(*_pair("a", "b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        pairs = scratch(pairs, "pairs")
-        near = scratch(_after_suffix_filter(pairs, sketches, percent), "near-pairs")
-        sets = fetch(near.select(F.explode(F.array("u", "v")).alias("class")).distinct())
-        new = scratch(_verified(near, sets, percent), "links")
-        discard(near, sets)
-        links = new if links is None else links.unionByName(new)
+            a, b, once = open_rows.alias("a"), pivots.select("token", "p.*").alias("b"), F.lit(True)
+        apart = (F.col("a.token") == F.col("b.token")) & (F.col("a.label") != F.col("b.label"))
+        found = a.join(b, apart & once & _passes("a", "b", percent)).select(*_pair("a", "b")).distinct()
+        pairs = scratch(found.join(tested.select("u", "v"), ["u", "v"], "left_anti"), "pairs")
+        links = links.unionByName(compared(pairs))
         if last:
-            discard(open_rows)
             break
-        tested = pairs.select("u", "v") if tested is None else tested.unionByName(pairs.select("u", "v"))
-        roots = components(links).select(F.col("node").alias("class"), "root")
-        rest = open_rows.join(pivots.select("token", F.col("p.class").alias("class")), ["token", "class"], "left_anti")
-        rows = (
-            rest.drop("label", "most", "open")
-            .join(roots, "class", "left")
-            .withColumn("label", F.coalesce("root", "class"))
-            .drop("root")
-        )
-    none = live.sparkSession.range(0).select(F.col("id").alias("u"), F.col("id").alias("v"))
-    return links if links is not None else none
+        tested = tested.unionByName(pairs)
+        gone = pivots.select("token", F.col("p.class").alias("class"))
+        rows = open_rows.join(gone, ["token", "class"], "left_anti").drop("label", "most", "open")
+    discard(last_rows)
+    return links
 
 
 def similar_groups(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFrame:

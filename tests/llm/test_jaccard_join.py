@@ -72,9 +72,10 @@ def corpus():
     return [*rows, (None, texts[3]), rows[7], (50, texts[9])]
 
 
-@pytest.mark.parametrize("open_pairs", [jaccard_join.OPEN_PAIRS, 0, 10**9])
-def test_as_brute_force(spark, monkeypatch, open_pairs):
+@pytest.mark.parametrize(("open_pairs", "small"), [(jaccard_join.OPEN_PAIRS, jaccard_join.SMALL_TOKEN), (0, 1), (10**9, 3)])
+def test_as_brute_force(spark, monkeypatch, open_pairs, small):
     monkeypatch.setattr(jaccard_join, "OPEN_PAIRS", open_pairs)
+    monkeypatch.setattr(jaccard_join, "SMALL_TOKEN", small)
     rows = corpus()
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("class", F.lit("x")).withColumn("n", F.lit(1))
     got = similar_groups(docs.repartition(6)).collect()
