@@ -35,6 +35,16 @@ def test_ids_are_those_of_the_whole_tokenizer():
     assert [ids[e - c : e].tolist() + [1] for e, c in zip(ends, counts, strict=True)] == [encoded(t) for t in texts]
 
 
+@pytest.mark.parametrize("text", [
+    "<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|startoftext|>", "<|STARTOFTEXT|>", "<|StartOfText|>",
+    "A<|EndOfText|>B <|endoftext|>C <|endoftexT|><|endoftext|>", "THE <|STARTOFTEXT|>The<|startoftext|>THE",
+    "H\u0331 h\u0331 T\u0308 t\u0308 W\u030a w\u030a Y\u030a y\u030a J\u030c j\u030c I\u0307 i\u0307",
+])
+def test_case_is_that_of_the_raw_text(text):
+    ids, _ = WordTokenizer(PATH).encode(pa.array([text, "Next text"]))
+    assert ids.tolist() == encoded(text)[:-1] + encoded("Next text")[:-1]
+
+
 @pytest.mark.parametrize("length", [8, 1024])
 def test_round_trip(spark, length):
     rows = [(i * 3 % 101, t) for i, t in enumerate(ODD)] + [(500 + i, f"doc {i} text") for i in range(40)]
