@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from stratalake.checks.workspace import new_folder
 from stratalake.llm import quality
@@ -41,11 +42,19 @@ def _once(docs: DataFrame) -> tuple[DataFrame, str]:
     return (keyed.dropDuplicates([key]) if counts.where("n > 1").limit(1).count() else keyed), key
 
 
-def _matching(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """The documents whose doc_id is (left_semi) or is not (left_anti) among the given ones, null ids included."""
-    other = _fresh(docs, "other_id")
-    ids = ids.select(F.col("doc_id").alias(other)).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col(other)), how)
+def _without(keyed: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """The keyed rows but for those whose key is among the given ones (doc_id)."""
+    other = _fresh(keyed, "other_key")
+    return keyed.join(gone.select(F.col("doc_id").alias(other)).distinct(), F.col(key) == F.col(other), "left_anti")
+
+
+def _in_order(keyed: DataFrame, key: str) -> tuple[DataFrame, str]:
+    """The rows with their key in a form whose order is that of the doc_ids, null ids last, then of the texts' hashes."""
+    name, number = _fresh(keyed, "ordered_key"), F.col("doc_id")
+    if isinstance(keyed.schema["doc_id"].dataType, IntegralType):  # hex digits in the order of signed numbers
+        number = F.lpad(F.hex(number.cast("long").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    place = F.when(F.col("doc_id").isNull(), "1").otherwise(F.concat(F.lit("0"), number.cast("string")))
+    return keyed.withColumn(name, F.concat_ws(":", place, F.col(key))), name
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,17 +68,22 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by similar word 5-grams the one with the smallest doc_id.
 
-    Of rows with equal doc_id and text one stays; rows of one doc_id with different texts stay or go together.
+    Of rows with equal doc_id and text one stays. Rows are judged one by one, also where they share a doc_id or have none:
+    null ids come after all others, and among equal ids a hash of the text decides.
     """
     once, key = _once(docs)
-    groups = similar_groups(docs)
-    return _matching(once.drop(key), groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))), "left_anti")
+    rows, place = _in_order(once, key)
+    ordered, own = _in_order(*_with_key(docs))
+    groups = similar_groups(ordered.select(F.col(own).alias("doc_id"), "text"))
+    return _without(rows, place, groups.where("doc_id <> component_id")).drop(key, place)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of a benchmark item."""
-    found = contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated")
-    return _matching(docs, found, "left_anti")
+    """Documents that hold no window of a benchmark item; rows are judged one by one, also where they share a doc_id."""
+    keyed, key = _with_key(docs)
+    rows = keyed.select(F.col(key).alias("doc_id"), "text")
+    found = contamination(rows, table(spark, sf_dir, "benchmark")).where("contaminated")
+    return _without(keyed, key, found).drop(key)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

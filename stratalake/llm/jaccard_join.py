@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from stratalake.llm.arrow_words import SpacedWords, slices, texts
 from stratalake.llm.common import discard, scratch
@@ -19,7 +20,8 @@ from stratalake.llm.components import components
 COUNTERS, CHUNK = 1 << 20, 1 << 14
 #: Cells of the sketch that the suffix filter compares, and the most n-grams of a set for which none overflows.
 CELLS, MOST_SKETCHED = 256, (1 << 15) - 1
-#: Ids of texts that may be broadcast to fetch their sets, 16 MB; more are joined by a shuffle.
+#: Ids of texts that may be broadcast to fetch their sets, 16 MB of numbers (of text ids an eighth as many); more are
+#: joined by a shuffle.
 MAX_BROADCAST_IDS = 2_000_000
 #: Tokens of at most so many classes have all their pairs filtered at once; larger ones go by pivots.
 SMALL_TOKEN = 16
@@ -342,7 +344,8 @@ def similar_groups(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFra
     def fetch(classes: DataFrame) -> DataFrame:
         chosen = members.join(classes, "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
         chosen = scratch(chosen.select(F.col("doc_id").alias("id")).distinct(), "chosen")
-        ids = F.broadcast(chosen) if chosen.count() <= MAX_BROADCAST_IDS else chosen
+        most = MAX_BROADCAST_IDS // (8 if isinstance(chosen.schema["id"].dataType, StringType) else 1)
+        ids = F.broadcast(chosen) if chosen.count() <= most else chosen
         found = _sets(docs.join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi"), size)
         return scratch(found, "sets")
 

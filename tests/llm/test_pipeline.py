@@ -78,3 +78,37 @@ def test_every_stage_on_what_the_one_before_kept(spark, tables, tmp_path):
 def test_run_is_its_stages(spark, tables):
     result = corpus_pipeline.run(spark, tables[0])
     assert result.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and result.count() > 100
+
+
+def test_rows_are_judged_one_by_one(spark, tmp_path):
+    """Rows without an id, and rows that share one, are removed for their own text only."""
+    pick = random.Random(3)
+
+    def prose(n):
+        return " ".join("".join(pick.choice("etaoinshrdlu") for _ in range(6)) for _ in range(n))
+
+    texts = [prose(60) for _ in range(8)]
+    rows = [
+        (None, texts[0]), (None, texts[0] + " end"), (None, texts[0] + " other end"),  # near copies without any id
+        (None, texts[1]), (None, texts[2]), (None, None),  # not linked
+        (-3, texts[3]), (2, texts[3] + " end"), (10, texts[3] + " more"), (None, texts[3] + " last"),  # the smallest is negative
+        (4, texts[4]), (4, texts[4] + " end"), (4, texts[5]), (4, texts[5]),  # one id, near and unlike texts, a repeated row
+        (9, texts[6]), (70, texts[6] + " end"), (70, texts[7]),  # only one of the rows of 70 is linked
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row_key", F.lit(1)).repartition(4)
+    got = corpus_pipeline.keep_one_of_each_group(spark, docs, "")
+    assert got.columns == docs.columns
+    kept = [(r["doc_id"], r["text"]) for r in got.collect()]
+    assert len([r for r in kept if r in rows[:3]]) == 1 and len([r for r in kept if r in rows[10:12]]) == 1
+    rest = [r for r in kept if r not in rows[:3] and r not in rows[10:12]]
+    assert sorted(rest, key=str) == sorted([*rows[3:7], rows[12], rows[14], rows[16]], key=str)
+
+    passage = prose(14)
+    dirty = f"{texts[0]} {passage} {texts[1]}"
+    rows = [(None, dirty), (None, texts[1]), (None, None), (5, dirty), (5, texts[2]), (5, texts[2]), (6, dirty + " x"), (7, texts[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row_key", F.lit(1)).repartition(4)
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path))
+    assert got.columns == docs.columns
+    kept = [(r["doc_id"], r["text"]) for r in got.collect()]
+    assert sorted(kept, key=str) == sorted([r for r in rows if passage not in (r[1] or "")], key=str)
