@@ -12,7 +12,7 @@ from stratalake.checks.workspace import new_folder
 from stratalake.llm import language, personal_data, quality
 from stratalake.llm.chat import chain, format_conversations, read_conversations
 from stratalake.llm.common import table
-from stratalake.llm.decontamination import contamination
+from stratalake.llm.decontamination import hit_spans
 from stratalake.llm.jaccard_join import similar_groups
 from stratalake.llm.labelled import held_out
 from stratalake.llm.line_dedup import drop_shared_lines
@@ -70,14 +70,14 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_decontamination")
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = hit_spans(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
         "doc_id",
         "n_words",
         "n_hit",
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        "contaminated",
+        (F.size("spans") > 0).alias("contaminated"),
     )
 
 

@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from stratalake.llm.decontamination import contamination
+from stratalake.llm.decontamination import contamination, decontaminate, hit_spans
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -63,3 +63,36 @@ def test_empty_tables(spark):
     assert not any(r["contaminated"] for r in contamination(docs, items).collect())
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     assert contamination(docs.limit(0), items).count() == 0
+
+
+def cut_out(text, windows):
+    """The spans of a text (first word 1, end not in it) and the text without them."""
+    found = list(re.finditer(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text or ""))
+    w, hit = words(text), set()
+    for window in windows:
+        for at in range(len(w) - len(window) + 1):
+            if w[at : at + len(window)] == window:
+                hit |= set(range(at, at + len(window)))
+    starts, ends = sorted(at for at in hit if at - 1 not in hit), sorted(at + 1 for at in hit if at + 1 not in hit)
+    kept, last = "", 0
+    for a, b in zip(starts, ends, strict=True):
+        kept, last = kept + text[last : found[a].start()], found[b - 1].end()
+    return list(zip([a + 1 for a in starts], [b + 1 for b in ends], strict=True)), (text and kept + text[last:])
+
+
+@pytest.mark.parametrize("most", [100, 0])
+def test_spans_are_returned_and_removed(spark, most):
+    windows = [w[at : at + 3] for _, t in ITEMS if (w := words(t)) for at in range(max(1, len(w) - 2))]
+    more = [(None, "clean"), (None, f"({ITEM})"), (6, "x\n\nSOLO, y"), (6, "- solo short item \u00e9!"), (8, "\U0001f600 solo \U0001f600b")]
+    rows = [*DOCS, *more]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("hit", F.lit(1)).withColumn("h.d", F.lit("h"))
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    want = [(doc_id, text, *cut_out(text, windows)) for doc_id, text in rows]
+    spans = [(r["doc_id"], [tuple(s) for s in r["spans"]]) for r in hit_spans(docs, items, 3, max_broadcast=most).collect()]
+    assert sorted(spans, key=str) == sorted([(d, s) for d, _, s, _ in want], key=str)
+    cut = decontaminate(docs, items, 3, max_broadcast=most)
+    assert cut.columns == docs.columns
+    assert sorted(map(tuple, cut.collect()), key=str) == sorted([(d, c, 1, "h") for d, _, _, c in want], key=str)
+    left = decontaminate(docs, items, 3, max_broadcast=most, whole=True)
+    assert sorted(map(tuple, left.collect()), key=str) == sorted([(d, t, 1, "h") for d, t, s, _ in want if not s], key=str)
+    assert decontaminate(docs, items.limit(0)).count() == len(rows)
