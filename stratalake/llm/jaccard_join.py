@@ -1,4 +1,4 @@
-"""Joins texts with similar sets of word n-grams: rare-first prefixes, length, positional and suffix filters, one check."""
+"""Joins texts with similar sets of word n-grams: rare-first prefixes, length and positional filters, sketches, one check."""
 
 from __future__ import annotations
 
@@ -18,7 +18,7 @@ from stratalake.llm.components import components
 
 #: Counters of the frequency table (a power of two) and how many of them make a row while they are added up.
 COUNTERS, CHUNK = 1 << 20, 1 << 14
-#: Cells of the sketch that the suffix filter compares, and the most n-grams of a set for which none overflows.
+#: Cells of the sketches that are compared before whole sets, and the most n-grams of a set for which none overflows.
 CELLS, MOST_SKETCHED = 256, (1 << 15) - 1
 #: Ids of texts that may be broadcast to fetch their sets, 16 MB of numbers (of text ids an eighth as many); more are
 #: joined by a shuffle.
@@ -232,8 +232,11 @@ def _pair(a: str, b: str) -> list[Column]:
     return [low["c"].alias("u"), high["c"].alias("v"), low["n"].alias("n"), high["n"].alias("m")]
 
 
-def _after_suffix_filter(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v, n, m) whose sketches allow enough common n-grams; those of sets without a sketch stay."""
+def _alike_by_sketch(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v, n, m) whose sketches allow enough common n-grams; those of sets without a sketch stay.
+
+    This bound over the whole sets stands in for a suffix filter: suffixes after the common n-gram are not looked at.
+    """
     a, b = (sketches.select(F.col("class").alias(x), F.col("sketch").alias(f"s{x}")) for x in ("u", "v"))
     both = pairs.join(a, "u", "left").join(b, "v", "left")
     common = F.aggregate(F.zip_with("su", "sv", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y.cast("int"))
@@ -267,7 +270,7 @@ def _links(
     few = (F.col("a.token") == F.col("b.token")) & (F.col("a.class") < F.col("b.class")) & _passes("a", "b", percent)
 
     def compared(pairs: DataFrame) -> DataFrame:
-        near = scratch(_after_suffix_filter(pairs, sketches, percent), "near-pairs")
+        near = scratch(_alike_by_sketch(pairs, sketches, percent), "near-pairs")
         sets = fetch(near.select(F.explode(F.array("u", "v")).alias("class")).distinct())
         links = scratch(_verified(near, sets, percent), "links")
         discard(near, sets)
