@@ -21,6 +21,9 @@ def fingerprint(text: Column) -> Column:
     `;`. A section ends with a paragraph whose hash begins with 0 to 3, so an inserted paragraph changes its own section
     only. In the tree leaves end with `.`, paragraphs with `,` and sections with `;` (but for the last of each). Null is
     taken as empty text.
+
+    Parents are hashed from the cut leaf hashes, as the query's SQL has it: two texts that differ in one leaf have equal
+    fingerprints about once in 4 * 10^9 such pairs.
     """
 
     def leaves(paragraph: Column) -> Column:
