@@ -171,3 +171,148 @@ ORACLES["op9_merkle_fingerprints"] = f"""
                 ELSE common_next::DOUBLE / (own + in_next - common_next) END AS near_next
     FROM compared JOIN edited USING (doc_id)
 """
+
+ORACLES["op11_source_divergence"] = rf"""
+    WITH d AS (
+        SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               regexp_extract_all(translate(coalesce(text, ''), {LOWER}), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+        FROM documents
+    ),
+    words AS (SELECT id, lang, source, unnest(terms) AS term FROM d),
+    kept AS (SELECT lang, term FROM words GROUP BY lang, term HAVING count(DISTINCT id) >= 10),
+    counts AS (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+    groups AS (
+        SELECT lang, source, coalesce(words, 0) AS words, coalesce(v, 0) AS v, coalesce(lang_words, 0) AS lang_words
+        FROM (SELECT DISTINCT lang, source FROM d)
+        LEFT JOIN (SELECT lang, source, sum(n) AS words FROM counts GROUP BY ALL) USING (lang, source)
+        LEFT JOIN (SELECT lang, count(*) AS v FROM kept GROUP BY lang) USING (lang)
+        LEFT JOIN (SELECT lang, sum(n) AS lang_words FROM counts GROUP BY lang) USING (lang)
+    ),
+    shares AS (
+        SELECT lang, source, term, coalesce(n, 0) AS n,
+               1 + (1000000000::HUGEINT * (coalesce(n, 0) + 2)) // (words + 2 * v)::HUGEINT AS p,
+               1 + (1000000000::HUGEINT * (sum(coalesce(n, 0)) OVER (PARTITION BY lang, term) + 2)) // (lang_words + 2 * v)::HUGEINT AS q
+        FROM groups JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)
+    ),
+    pairs AS (
+        SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+        FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+    ),
+    every AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+        FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+        UNION ALL
+        SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q
+    )
+    SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+           CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank
+    FROM every QUALIFY part = 'pair' OR rank <= 10
+"""
+
+
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 of a text's UTF-8 bytes, bit by bit."""
+    pairs = f"regexp_extract_all(hex(encode({text})), '..')"
+    bits = f"flatten(list_transform({pairs}, lambda c: [CAST('0x' || c AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))"
+    step = "CASE WHEN xor(a, e) & 1 = 1 THEN xor(xor(a, e) >> 1, 3988292384) ELSE xor(a, e) >> 1 END"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bits}), lambda a, e: {step}), 4294967295)"
+
+
+def _leaf(text: str) -> str:
+    fields = [f"CAST({name} AS VARCHAR)" for name in ("doc_id", "source", "lang", "n_chars")] + [text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+ORACLES["op13_merkle_manifest"] = f"""
+    WITH RECURSIVE d AS (
+        SELECT doc_id, coalesce('s' || source, '') AS part, {_leaf("text")} AS leaf,
+               CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 5 = 0 THEN {_leaf(f"translate(text, {LOWER})")} ELSE {_leaf("text")} END AS copy
+        FROM documents
+    ),
+    leaves AS (
+        SELECT *, row_number() OVER (PARTITION BY part ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY part) AS n
+        FROM d
+    ),
+    low AS (
+        SELECT part, 0 AS level, pos, n, leaf AS digest FROM leaves
+        UNION ALL
+        SELECT part, any_value(level) + 1, pos // 16, any_value(n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos))
+        FROM low WHERE n > 1 GROUP BY part, pos // 16
+    ),
+    subroots AS (
+        SELECT part, digest, row_number() OVER (ORDER BY encode(part)) - 1 AS pos, count(*) OVER () AS n FROM low WHERE n = 1
+    ),
+    high AS (
+        SELECT 0 AS level, pos, n, digest FROM subroots
+        UNION ALL
+        SELECT any_value(level) + 1, pos // 16, any_value(n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos))
+        FROM high WHERE n > 1 GROUP BY pos // 16
+    ),
+    paths AS (
+        SELECT doc_id, leaves.part, leaves.copy, low.level, low.pos,
+               coalesce((SELECT string_agg(s.digest, '' ORDER BY s.pos) FROM low s
+                         WHERE s.part = low.part AND s.level = low.level AND s.pos // 16 = low.pos // 16 AND s.pos < low.pos), '') AS l,
+               coalesce((SELECT string_agg(s.digest, '' ORDER BY s.pos) FROM low s
+                         WHERE s.part = low.part AND s.level = low.level AND s.pos // 16 = low.pos // 16 AND s.pos > low.pos), '') AS r
+        FROM leaves JOIN low ON low.part = leaves.part AND low.n > 1 AND low.pos = leaves.pos // CAST(pow(16, low.level) AS BIGINT)
+        UNION ALL
+        SELECT doc_id, leaves.part, leaves.copy, 100 + high.level, high.pos,
+               coalesce((SELECT string_agg(s.digest, '' ORDER BY s.pos) FROM high s
+                         WHERE s.level = high.level AND s.pos // 16 = high.pos // 16 AND s.pos < high.pos), ''),
+               coalesce((SELECT string_agg(s.digest, '' ORDER BY s.pos) FROM high s
+                         WHERE s.level = high.level AND s.pos // 16 = high.pos // 16 AND s.pos > high.pos), '')
+        FROM leaves JOIN subroots ON subroots.part = leaves.part
+        JOIN high ON high.n > 1 AND high.pos = subroots.pos // CAST(pow(16, high.level) AS BIGINT)
+    ),
+    steps AS (SELECT doc_id, part, row_number() OVER (PARTITION BY doc_id, part ORDER BY level) AS step, l, r FROM paths),
+    folded AS (
+        SELECT doc_id, part, 0 AS step, copy AS digest FROM leaves
+        UNION ALL
+        SELECT folded.doc_id, folded.part, folded.step + 1, sha256(l || digest || r)
+        FROM folded JOIN steps ON steps.doc_id = folded.doc_id AND steps.part = folded.part AND steps.step = folded.step + 1
+    ),
+    ended AS (SELECT doc_id, part, arg_max(digest, step) AS folded_root FROM folded GROUP BY ALL),
+    proofs AS (SELECT doc_id, part, string_agg(l || r, '' ORDER BY step) AS proof FROM steps GROUP BY ALL)
+    SELECT leaves.doc_id, leaf, subroots.digest AS subroot, high.digest AS root, sha256(coalesce(proof, '')) AS proof_sha256,
+           folded_root, folded_root = high.digest AS verified
+    FROM leaves JOIN subroots USING (part) JOIN high ON high.n = 1 JOIN ended USING (doc_id, part) LEFT JOIN proofs USING (doc_id, part)
+"""
+
+ORACLES["op12_histogram_sharding"] = f"""
+    WITH d AS (
+        SELECT doc_id, coalesce(text, '') AS text, strlen(coalesce(text, '')) + 16 AS size,
+               md5(coalesce(text, '')) || md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || coalesce(md5(text), 'null')) AS key
+        FROM documents
+    ),
+    o AS (
+        SELECT *, sum(size) OVER (ORDER BY key) AS above, sum(size) OVER (ORDER BY key) - size AS below, sum(size) OVER () AS total,
+               count(*) OVER () AS n_all
+        FROM d
+    ),
+    cuts AS (SELECT k, key FROM range(1, 40) t(k) JOIN o ON below * 40 <= total * k AND total * k < above * 40),
+    edges AS (
+        SELECT k, digits, min(below) AS down, max(above) AS up, any_value(total) AS total
+        FROM cuts, (SELECT least(n, 80) AS digits FROM range(3, 82, 2) t(n)) JOIN o ON substr(o.key, 1, digits) = substr(cuts.key, 1, digits)
+        GROUP BY k, digits
+    ),
+    chosen AS (
+        SELECT k, arg_min(CASE WHEN total * k - down * 40 <= up * 40 - total * k THEN down ELSE up END, digits) AS edge
+        FROM edges WHERE least(total * k - down * 40, up * 40 - total * k) <= 0.005 * total OR digits = 80 GROUP BY k
+    ),
+    dealt AS (SELECT *, (SELECT count(*) FROM chosen WHERE edge <= below) AS shard FROM o),
+    shards AS (
+        SELECT shard, greatest(1, ceil(goal * n / n_all), ceil(goal * bytes / total))::BIGINT AS pieces
+        FROM (
+            SELECT shard, count(*) AS n, sum(size) AS bytes, any_value(n_all) AS n_all, any_value(total) AS total,
+                   greatest(32 * 40, ceil(any_value(total) / 268435456)) AS goal
+            FROM dealt GROUP BY shard
+        )
+    ),
+    placed AS (
+        SELECT doc_id, text, size, shard, key, CAST('0x' || substr(key, 33, 8) AS BIGINT) % pieces AS piece FROM dealt JOIN shards USING (shard)
+    )
+    SELECT doc_id, size, {_crc32("text")} AS text_crc32, 'bytes' AS law, CAST(shard AS INTEGER) AS shard,
+           row_number() OVER (PARTITION BY shard ORDER BY piece, key) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+    FROM placed
+"""

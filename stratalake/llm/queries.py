@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 from stratalake.checks.workspace import new_folder
 from stratalake.llm import language, personal_data, quality
 from stratalake.llm.chat import chain, format_conversations, read_conversations
-from stratalake.llm.common import table
+from stratalake.llm.common import ascii_lower, table
 from stratalake.llm.decontamination import hit_spans
+from stratalake.llm.divergence import source_divergence
 from stratalake.llm.jaccard_join import similar_groups
 from stratalake.llm.labelled import held_out
 from stratalake.llm.line_dedup import drop_shared_lines
+from stratalake.llm.manifest import manifest_proofs, proof
 from stratalake.llm.merkle import fingerprints
 from stratalake.llm.mixing import mix
+from stratalake.llm.sharding import shard_by_bytes
 from stratalake.llm.token_files import read_token_files, write_token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,3 +114,24 @@ def personal_data_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(personal_data.span_list(F.col("base")), 256).alias("base_sha256"),
         personal_data.span_list(F.col("spans")).alias("spans"),
     )
+
+
+@query("op11_source_divergence")
+def divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+@query("op13_merkle_manifest")
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    text = F.when(tampered, ascii_lower(F.col("text"))).otherwise(F.col("text"))
+    rows = manifest_proofs(table(spark, sf_dir, "documents"), {"text": text})
+    return rows.withColumn("proof_sha256", F.sha2(proof(F.col("path")), 256)).drop("path")
+
+
+@query("op12_histogram_sharding")
+def histogram_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shard_by_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"), 40)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
