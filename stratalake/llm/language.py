@@ -147,8 +147,9 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 letters = np.bincount(words.rows_of, weights=runs[words.codes], minlength=n_rows)
                 best, chance = np.full(n_rows, len(languages) - 1), np.zeros(n_rows)
                 if len(languages) > 1:
+                    # of no words at all numpy gives whole numbers
                     sums = np.stack(
-                        [np.bincount(words.rows_of, weights=s[words.codes], minlength=n_rows) for s in scores.T], axis=1
+                        [np.bincount(words.rows_of, weights=s[words.codes], minlength=n_rows) for s in scores.T], axis=1, dtype=np.float64
                     )
                     sums += shared.value.prior
                     odds = np.exp(sums - sums.max(axis=1, keepdims=True))

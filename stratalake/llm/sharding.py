@@ -38,7 +38,7 @@ class Splitters:
 
 def keyed(docs: DataFrame) -> DataFrame:
     """The rows with size, text_crc32 and their key, whose order is that of the shards: rows of one text are neighbours."""
-    text, number = F.coalesce("text", F.lit("")), F.hex(F.monotonically_increasing_id())
+    text, number = F.coalesce("text", F.lit("")), F.lower(F.hex(F.monotonically_increasing_id()))
     mark = F.when(F.col("text").isNull(), "null").otherwise(F.md5(text))
     own = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), mark))
     return docs.select(

@@ -101,3 +101,10 @@ def test_features_are_finite_for_any_text():
     assert values.shape == (7, len(quality.FEATURES)) and np.isfinite(values).all()
     sliced = quality.features(pa.concat_arrays([pa.array(["pad pad"]), rows]).slice(1))
     assert np.allclose(values, sliced)
+
+
+@pytest.mark.parametrize("texts", [[None], ["", None], [" \n\t"], [" " * (5 << 20)], [None, "the and of", " "]])
+def test_language_of_batches_without_words(spark, model, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.identify(docs, model).collect()}
+    assert all((got[k] == ("und", 0.0)) == (not (t or "").strip()) for k, t in enumerate(texts))
