@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalake.sources.boundaries import BLOCK_BYTES, csv_records
 from stratalake.sources.listing import largest_file, names_with_suffix
 
 # Quotes inside a value are doubled, and a quoted value may hold line breaks.
@@ -26,10 +27,14 @@ def read_landing(spark: SparkSession, path: str, large_file: int = LARGE_FILE) -
 
     A file whose values may hold line breaks cannot be cut at arbitrary bytes, so each file is one task; the
     landing sink bounds the bytes of a file to keep such tasks even. Where another program left a large file, its
-    lines are looked through first, in parallel: if every line is surely a record, the file is read in pieces, which gives
-    the same rows. Columns go by place, so files with another header than the first one stop the read.
+    lines are looked through first, in parallel: if every line is surely a record, the file is read in pieces; if the
+    quotes show where each record ends, it is cut there (``read_records``). Both give the same rows as one task. Columns go
+    by place, so files with another header than the first one stop the read.
     """
-    in_pieces = largest_file(spark, path) >= large_file and lines_are_records(spark, path)
+    large = largest_file(spark, path) >= large_file
+    in_pieces = large and lines_are_records(spark, path)
+    if large and not in_pieces and (cut := read_records(spark, path)) is not None:
+        return cut
     reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(not in_pieces))
     rows = reader.csv(path)
     # A name that ends with its place may stand for an empty or repeated one, and is then not what the file says.
@@ -41,6 +46,20 @@ def read_landing(spark: SparkSession, path: str, large_file: int = LARGE_FILE) -
     return reader.option("enforceSchema", "false").schema(rows.schema).csv(path) if rows.columns else rows
 
 
+def read_records(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame | None:
+    """The rows of CSV files whose values hold line breaks, each file read by many tasks; None where its quotes leave a doubt."""
+    records = csv_records(spark, path, block_bytes)
+    names = spark.read.options(**CSV_OPTIONS).option("multiLine", "true").csv(path).columns
+    if records is None or not names:
+        return None
+    schema = ", ".join(f"c{place} string" for place in range(len(names)))
+    options = {**CSV_OPTIONS, "multiLine": "true"}
+    parsed = records.select(((F.col("block") == 0) & (F.col("place") == 0)).alias("head"), F.from_csv("value", schema, options).alias("row"))
+    if parsed.where("head").select("row").distinct().limit(2).count() > 1:
+        raise HeadersDiffer(f"the files of {path} have different headers")
+    return parsed.where("not head").select("row.*").toDF(*names)
+
+
 def headers_agree(spark: SparkSession, path: str) -> bool:
     """Whether the first records of all files are equal; a pass over the files that leaves one record for each."""
     records = spark.read.options(**CSV_OPTIONS).option("header", "false").option("multiLine", "true").csv(path)
