@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,7 +32,7 @@ def _term_bytes() -> np.ndarray:
 
 
 def terms_of(rows: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """The different terms of texts, and each occurrence's text and term as numbers, in the order of the texts.
+    """The different terms of texts in order, and each occurrence's text and term as numbers, in the order of the texts.
 
     Terms are the longest runs of ASCII letters and of characters beyond ASCII, A to Z in lower case.
     """
@@ -54,7 +55,10 @@ def terms_of(rows: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     ends = pa.py_buffer(np.append(places, len(kept)).astype(np.int32))
     encoded = pa.StringArray.from_buffers(len(starts), ends, pa.py_buffer(kept)).dictionary_encode()
     text_of = np.searchsorted(offsets, starts, side="right") - 1
-    return encoded.dictionary, text_of, encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    order = pc.sort_indices(encoded.dictionary)  # neighbours in order compress well on their way
+    rank = np.empty(len(order), np.int64)
+    rank[order.to_numpy()] = np.arange(len(order))
+    return encoded.dictionary.take(order), text_of, rank[encoded.indices.to_numpy(zero_copy_only=False)]
 
 
 def _summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
