@@ -7,11 +7,13 @@ from stratalake.operators.cleaning import (
     clean,
     copy_provenance,
     dedupe_rows,
+    dedupe_wide,
     drop_incomplete_rows,
     rename_by_map,
     stamp,
     upper_strings,
 )
+from stratalake.plans.runs import NotRun, RunRecord
 from stratalake.plans.stages import (
     StageFailure,
     bronze_to_silver,
@@ -19,6 +21,7 @@ from stratalake.plans.stages import (
     landing_to_bronze,
     run_pipeline,
 )
+from stratalake.sources.catalogue import CatalogueSource
 from stratalake.sources.documents import DocumentSource
 from stratalake.sources.files import TableDirectory, read_landing, read_lines, read_table
 from stratalake.sources.relational import DERBY, INFORMATION_SCHEMA, Dialect, RelationalSource
@@ -27,16 +30,20 @@ __all__ = [
     "DERBY",
     "INFORMATION_SCHEMA",
     "RENAME_MAP",
+    "CatalogueSource",
     "Dialect",
     "DocumentSource",
     "LakeLayout",
+    "NotRun",
     "RelationalSource",
+    "RunRecord",
     "StageFailure",
     "TableDirectory",
     "bronze_to_silver",
     "clean",
     "copy_provenance",
     "dedupe_rows",
+    "dedupe_wide",
     "drop_incomplete_rows",
     "extract_to_landing",
     "landing_to_bronze",

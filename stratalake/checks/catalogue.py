@@ -6,7 +6,9 @@ session's shared checkpoint directory. Load times are fixed, since two engines d
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +24,7 @@ from stratalake.operators.cleaning import (
     clean,
     copy_provenance,
     dedupe_rows,
+    dedupe_wide,
     drop_incomplete_rows,
     rename_by_map,
     stamp,
@@ -30,6 +33,7 @@ from stratalake.operators.cleaning import (
 from stratalake.plans.stages import bronze_to_silver, extract_to_landing, landing_to_bronze, run_pipeline
 from stratalake.sinks.landing import write_landing
 from stratalake.sinks.layers import write_layer
+from stratalake.sources.catalogue import CatalogueSource
 from stratalake.sources.documents import DocumentSource, parse_nested
 from stratalake.sources.files import TableDirectory, probe_lines, read_landing, read_lines, read_table
 from stratalake.sources.listing import bronze_tables, landing_tables
@@ -226,6 +230,20 @@ def dedupe_rows_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_copies(given(spark, sf_dir, "lineitem"), "l_returnflag = 'R'").transform(dedupe_rows)
 
 
+@query("dedupe_wide_documents", "SELECT DISTINCT * FROM documents")
+def dedupe_wide_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_copies(given(spark, sf_dir, "documents"), "lang = 'de'").transform(dedupe_wide)
+
+
+@query(
+    "silver_documents_by_fingerprint",
+    f"SELECT {upper_columns(*DOCUMENTS)}, {SILVER_STAMPS} FROM (SELECT DISTINCT * FROM documents) bronze",
+)
+def silver_documents_by_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bronze = stored(as_bronze(given(spark, sf_dir, "documents")).transform(with_copies, "lang = 'en'"))
+    return bronze.transform(clean, now=at(REFINED_AT), distinct="fingerprints")
+
+
 @query(
     "drop_incomplete_rows",
     """
@@ -323,6 +341,14 @@ def landing_csv_html_fidelity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return through_landing(spark, sf_dir, "pages")
 
 
+@query("landing_csv_across_lines", f"SELECT {text_columns(*DOCUMENTS)} FROM documents")
+def landing_csv_across_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files as another program may leave them, values with line breaks in one large file, cut at their records."""
+    path = new_lake(spark, "across").landing_path("documents")
+    write_landing(given(spark, sf_dir, "documents"), path)
+    return read_landing(spark, path, large_file=1)
+
+
 @query(
     "landing_csv_json_fidelity",
     f"SELECT {text_columns('event_id', 'ts', 'user_id', 'event_type', 'value', 'props')} FROM events",
@@ -504,6 +530,47 @@ def source_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probe_facts(read_landing(spark, path), probe_lines(spark, f"{path}/*"))
 
 
+# Catalogue sources
+
+
+@contextmanager
+def registered(spark: SparkSession, sf_dir: str, *names: str) -> Iterator[CatalogueSource]:
+    """A namespace of the session's catalogue whose tables are the given ones, where they lie."""
+    space = f"given_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {space} LOCATION '{new_folder(spark, 'catalogue')}'")
+    try:
+        for name in names:
+            place = f"{sf_dir.rstrip('/')}/{name}.parquet".replace("'", "\\'")
+            spark.sql(f"CREATE TABLE {space}.{name} USING parquet LOCATION '{place}'")
+        yield CatalogueSource(space)
+    finally:
+        spark.sql(f"DROP DATABASE {space} CASCADE")
+
+
+@query("catalogue_table_discovery", counts_sql(*ALL_TABLES))
+def catalogue_table_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with registered(spark, sf_dir, *ALL_TABLES) as source:
+        return counts_by_table({name: source.read(spark, name) for name in source.tables(spark)})
+
+
+@query("catalogue_extract_counts", counts_sql("customer", "documents", "nation", "orders"))
+def catalogue_extract_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with registered(spark, sf_dir, "customer", "documents", "nation", "orders") as source:
+        results = extract_to_landing(spark, source, new_lake(spark, "schema"))
+    return results.select("table_name", F.col("rows_written").alias("n_rows"))
+
+
+@query(
+    "catalogue_single_table_extract",
+    f"SELECT {text_columns('s_suppkey', 's_name', 's_nationkey', 's_acctbal')} FROM supplier",
+)
+def catalogue_single_table_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layout = new_lake(spark, "single")
+    with registered(spark, sf_dir, "supplier", "region") as source:
+        extract_to_landing(spark, source, layout, ["supplier"])
+    return read_landing(spark, layout.landing_path("supplier"))
+
+
 # Document sources
 
 
@@ -595,6 +662,17 @@ def document_value_fidelity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return DocumentSource(root).read(spark, "mixed")
 
 
+@query("document_spanning_lines", "SELECT conv_id, turn, role, text, role AS tag FROM conversations")
+def document_spanning_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents printed over several lines, read without a schema."""
+    root = new_folder(spark, "documents")
+    turns = exported_turns(spark, sf_dir)
+    turns.select(F.to_json(F.struct(*turns.columns), {"pretty": "true"}).alias("value")).write.text(f"{root}/turns.json")
+    rows = DocumentSource(root, options={"multiLine": "true"}).read(spark, "turns")
+    parsed = rows.transform(parse_nested, "message", "turn bigint, role string, text string").transform(parse_nested, "tags", "array<string>")
+    return parsed.select(F.col("conv_id").cast("bigint"), "message.*", F.col("tags")[0].alias("tag"))
+
+
 @query("collection_discovery", counts_sql("conversations", "labels"))
 def collection_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = export_collections(
@@ -642,6 +720,12 @@ def medallion_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_customer(spark, TableDirectory(sf_dir))
 
 
+@query("medallion_catalogue", SILVER_CUSTOMER_SQL)
+def medallion_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with registered(spark, sf_dir, "customer", "nation", "region") as source:
+        return silver_customer(spark, source)
+
+
 @query("medallion_jdbc", SILVER_CUSTOMER_SQL)
 def medallion_jdbc(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {name: given(spark, sf_dir, name) for name in ("customer", "nation", "region")}

@@ -2,29 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import SparkSession
 
 from stratalake.layout import LakeLayout
-from stratalake.sources.listing import scratch_directory
-
-CHECKPOINT_DIR = "spark.checkpoint.dir"
-
-
-def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder in the shared directory the session names, removed when the driver ends.
+from stratalake.scratch import CHECKPOINT_DIR, new_folder
 
-    Executors read what other executors wrote there, so a folder of one machine will do in local mode only.
-    """
-    shared = spark.conf.get(CHECKPOINT_DIR, None)
-    if not shared:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
-            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        shared = tempfile.gettempdir()
-    return scratch_directory(spark, f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}")
+__all__ = ["CHECKPOINT_DIR", "new_folder", "new_lake"]
 
 
 def new_lake(spark: SparkSession, purpose: str) -> LakeLayout:

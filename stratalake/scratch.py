@@ -14,8 +14,13 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder in the shared directory the session names, removed when the driver ends.
 
-    Executors read there what other executors wrote, so a folder of one machine will not do: without the setting
-    ``spark.checkpoint.dir`` the session's warehouse takes its place, which is shared too.
+    Executors read there what other executors wrote, so on a cluster a folder of one machine will not do. In local mode the
+    session's warehouse takes the place of a directory that is not named.
     """
-    shared = spark.conf.get(CHECKPOINT_DIR, None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    shared = spark.conf.get(CHECKPOINT_DIR, None)
+    if not shared:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return scratch_directory(spark, f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}")

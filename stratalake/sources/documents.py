@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 from stratalake.functions.names import column
 from stratalake.functions.text import text_form
 from stratalake.plans.sizing import session_like
+from stratalake.scratch import new_folder
+from stratalake.sources.boundaries import json_documents
 from stratalake.sources.files import probe_lines
 from stratalake.sources.listing import names_with_suffix
 
@@ -24,11 +26,14 @@ class DocumentSource:
     * ``DocumentSource.over_connector("mongodb", options, collections, schemas)``: the connector must be on the
       cluster's classpath, and the caller names the collections.
 
+    Documents are lines. With the option ``multiLine`` they may span lines, stand several on a line, or make up one array for each
+    file: their ends are then found by many tasks (``json_documents``), and the documents kept as lines in scratch for the reads.
+
     Without a schema every top-level key of a JSON collection becomes a text column that holds the values letter by
     letter: strings without their quotes, an object id as its digits, and booleans as ``True`` and ``False`` (but as JSON
     writes them if the key also has the strings ``true`` or ``false``). Finding the keys takes one pass. Of keys that differ in case only, the first by code point keeps its name, and the others get
     a number: ``Name``, ``name__2``. A schema in ``schemas`` saves the pass and gives types; keys it leaves out are then not
-    read. Connectors, which would infer from a few documents, need one for each collection, as do documents that span lines.
+    read. Connectors, which would infer from a few documents, need one for each collection.
     """
 
     root: str = ""
@@ -54,8 +59,7 @@ class DocumentSource:
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         reader = spark.read.format(self.data_format).options(**self.options)
-        as_lines = self.data_format == "json" and not self._spans_lines()
-        if table not in self.schemas and not as_lines:
+        if table not in self.schemas and self.data_format != "json":
             raise ValueError(f"collection {table} needs a schema: one inferred from some documents would lose keys")
         if table in self.schemas:
             reader = reader.schema(self.schemas[table])
@@ -65,8 +69,13 @@ class DocumentSource:
         if table in self.schemas:
             # A malformed document stops the load instead of turning into a row of nulls.
             return flatten_documents(reader.option("mode", "FAILFAST").load(path))
-        lines = spark.read.options(**self.options).text(path)
-        return documents_as_text(spark, path, self.options, keys_of(lines))
+        options = {name: value for name, value in self.options.items() if name.lower() != "multiline"}
+        if self._spans_lines():
+            whole = json_documents(spark, path)
+            path = f"{new_folder(spark, 'documents')}/{table}.json"
+            whole.select("value").write.text(path)
+        lines = spark.read.options(**options).text(path)
+        return documents_as_text(spark, path, options, keys_of(lines))
 
     def _spans_lines(self) -> bool:
         return any(name.lower() == "multiline" and str(value).lower() == "true" for name, value in self.options.items())

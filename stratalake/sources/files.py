@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.sources.boundaries import BLOCK_BYTES, csv_records
-from stratalake.sources.listing import largest_file, names_with_suffix
+from stratalake.sources.listing import largest_file, names_with_suffix, recover
 
 # Quotes inside a value are doubled, and a quoted value may hold line breaks.
 CSV_OPTIONS = {"header": "true", "escape": '"'}
@@ -88,7 +88,9 @@ def lines_are_records(spark: SparkSession, path: str) -> bool:
 
 
 def read_table(spark: SparkSession, path: str, table_format: str = "parquet") -> DataFrame:
-    """A bronze or silver table by its path."""
+    """A bronze or silver table by its path; one that was left half replaced comes back first (``recover``)."""
+    if table_format != "delta":
+        recover(spark, path)
     return spark.read.format(table_format).load(path)
 
 

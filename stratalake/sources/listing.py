@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
 from stratalake.layout import LANDING_SUFFIX, LakeLayout
 
+# What a table is called beside itself while it is replaced.
+_HALF_DONE = re.compile(r"_(?P<table>.+)-[0-9a-f]{12}-(?:new|old)")
+
 
 def _file_system(spark: SparkSession, uri: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(uri)
@@ -62,6 +67,36 @@ def swap(spark: SparkSession, new: str, uri: str, old: str) -> None:
         fs.delete(former, True)
 
 
+def recover(spark: SparkSession, uri: str) -> bool:
+    """Undoes a replacement of the table at ``uri`` that ended between its two renames; tells whether there was one.
+
+    The former rows, beside it under a hidden name, come back, and what the replacement had written goes.
+    """
+    parent, _, name = uri.rstrip("/").rpartition("/")
+    if exists(spark, uri) or not parent or not exists(spark, parent):
+        return False
+    left = [entry for entry, is_directory in entries(spark, parent) if is_directory and _HALF_DONE.fullmatch(entry)]
+    of_table = [entry for entry in left if _HALF_DONE.fullmatch(entry)["table"] == name]
+    former = [entry for entry in of_table if entry.endswith("-old")]
+    if len(former) != 1:
+        return False
+    fs, target = _file_system(spark, uri)
+    if not fs.rename(_file_system(spark, f"{parent}/{former[0]}")[1], target):
+        raise OSError(f"{parent}/{former[0]} cannot be moved back to {uri}")
+    for entry in of_table:
+        if entry.endswith("-new"):
+            remove(spark, f"{parent}/{entry}")
+    return True
+
+
+def recover_all(spark: SparkSession, layer: str) -> list[str]:
+    """``recover`` for every table of a layer that only has former rows; gives their names."""
+    if not exists(spark, layer):
+        return []
+    hidden = [match["table"] for name, _ in entries(spark, layer) if (match := _HALF_DONE.fullmatch(name)) and name.endswith("-old")]
+    return [name for name in sorted(set(hidden)) if recover(spark, f"{layer}/{name}")]
+
+
 def scratch_directory(spark: SparkSession, uri: str) -> str:
     """A new directory that the driver's JVM deletes when it ends."""
     fs, path = _file_system(spark, uri)
@@ -80,4 +115,5 @@ def landing_tables(spark: SparkSession, layout: LakeLayout) -> list[str]:
 
 
 def bronze_tables(spark: SparkSession, layout: LakeLayout) -> list[str]:
+    recover_all(spark, layout.bronze)
     return [name for name, is_directory in entries(spark, layout.bronze) if is_directory and not name.startswith(("_", "."))]

@@ -80,14 +80,33 @@ def test_connector_source_names_its_collections_and_their_schemas(spark):
         source.read(spark, "b")
 
 
-def test_documents_that_span_lines_need_a_schema(spark, tmp_path):
+def test_documents_that_span_lines(spark, tmp_path):
     (tmp_path / "wide.json").write_text('[{"a": 1},\n {"a": 2}]')
-    with pytest.raises(ValueError, match="schema"):
-        DocumentSource(str(tmp_path), options={"multiLine": "true"}).read(spark, "wide")
+    assert rows(DocumentSource(str(tmp_path), options={"multiLine": "true"}).read(spark, "wide")) == [("1",), ("2",)]
     typed = DocumentSource(str(tmp_path), options={"multiLine": "true"}, schemas={"wide": "a bigint"})
     assert rows(typed.read(spark, "wide")) == [(1,), (2,)]
 
 
+def test_documents_that_span_lines_keep_all_keys_and_letters(spark, tmp_path):
+    docs = ['{"a": 1.50, "t": "}\\"{[", "o": {"k" : null}}', '{"b": [1,  2.0], "a": "x"}', '{}', '{"t": true, "B": null}']
+    (tmp_path / "lines.json").write_text("\n".join(docs))
+    (tmp_path / "array.json").write_text("[" + ",\n".join(docs) + "]\n")
+    (tmp_path / "apart.json").write_text("\n\n".join(d.replace(", ", ",\n  ") for d in docs))
+    (tmp_path / "one.json").write_text("[" + ",".join(docs) + "]")
+    by_lines = DocumentSource(str(tmp_path)).read(spark, "lines")
+    source = DocumentSource(str(tmp_path), options={"multiLine": "true"})
+    for name in ("lines", "array", "one"):
+        found = source.read(spark, name)
+        assert found.columns == by_lines.columns and rows(found) == rows(by_lines)
+    assert rows(source.read(spark, "apart").select("a", "t")) == rows(by_lines.select("a", "t"))
+
+
+def test_a_malformed_document_among_many_lines_stops_the_load(spark, tmp_path):
+    (tmp_path / "bad.json").write_text('{"a": 1}\n{"a": }\n')
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        DocumentSource(str(tmp_path), options={"multiLine": "true"}).read(spark, "bad").collect()
+
+
 def test_no_key_or_digit_is_lost(spark, tmp_path):
     lines = [
         '{"Name":"x","n":1,"t":true,"b":false,"o":{"k":null,"m":1.50}}',
