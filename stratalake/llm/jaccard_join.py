@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +28,10 @@ CELLS, MOST_SKETCHED = 256, (1 << 15) - 1
 MAX_BROADCAST_IDS = 2_000_000
 #: Tokens of at most so many classes have all their pairs filtered at once; larger ones go by pivots.
 SMALL_TOKEN = 16
-#: Pivot rounds go on while more pairs than this many times the rows are open, and while they at least halve them.
-OPEN_PAIRS = 1
+#: Pivot rounds go on while more pairs than this many times the rows are open: in all, and of a token.
+OPEN_PAIRS = 4
+#: What is left open of a token is dealt into so many parts at most, of about so many pairs.
+MOST_PARTS, PART_PAIRS = 256, 1_000_000
 FACTOR = np.uint64(0x9E3779B97F4A7C15)  # odd
 
 
@@ -252,19 +257,61 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return sized.where(100 * F.col("both") >= percent * (F.col("sum") - F.col("both"))).select("u", "v").distinct()
 
 
+def _alive(rows: DataFrame, percent: int) -> DataFrame:
+    """Token rows that may pass the filters with some other row of their token, judged by the smallest set there."""
+    sizes = rows.groupBy("token").agg(F.min("n").alias("smallest"), F.count("*").alias("k")).where("k > 1").drop("k")
+    partner = F.greatest("smallest", F.ceil(percent * F.col("n") / 100))
+    bounded = rows.join(sizes, "token").where(F.col("n") - F.col("pos") >= _needed(F.col("n"), partner, percent))
+    return bounded.drop("smallest")
+
+
+def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """Token rows with the component of their class so far; a class without links is its own."""
+    roots = components(links).select(F.col("node").alias("class"), "root")
+    return rows.join(roots, "class", "left").withColumn("label", F.coalesce("root", "class")).drop("root")
+
+
+def _split(rows: DataFrame) -> DataFrame:
+    """Open rows (token, class, n, pos, label) with the token's largest component and its open pairs; closed tokens go.
+
+    Open pairs, at most: each row outside the largest component with every row of the token.
+    """
+    counts = rows.groupBy("token", "label").agg(F.count("*").alias("c"))
+    tokens = counts.groupBy("token").agg(F.sum("c").alias("k"), F.max("c").alias("m"), F.max_by("label", "c").alias("most"))
+    return rows.join(tokens.where("k > m").select("token", "k", "most", ((F.col("k") - F.col("m")) * F.col("k")).alias("open")), "token")
+
+
+def _remaining(rows: DataFrame, percent: int) -> DataFrame:
+    """All open pairs of the rows that pass the filters, from both sides dealt out by size and, where there are many, in parts."""
+    # sizes that the length filter allows are in the same or in neighbouring bands
+    band = F.floor(F.log("n") / max(math.log(100 / percent) * 1.000001, 0.01)).cast("int")
+    parts = F.least(F.lit(MOST_PARTS), 1 + F.floor(F.col("open") / PART_PAIRS)).cast("int")
+    sided = rows.withColumns({"band": band, "parts": parts})
+    # rows of a token's largest component are on one side only
+    part = F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")
+    a = sided.where("label <> most").withColumn("part", part).alias("a")
+    near = sided.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
+    b = near.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("b")
+    same = reduce(and_, (F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("token", "band", "part")))
+    once = (F.col("b.label") == F.col("b.most")) | (F.col("a.class") < F.col("b.class"))
+    open_pair = same & (F.col("a.label") != F.col("b.label")) & once & _passes("a", "b", percent)
+    return a.join(b, open_pair).select(*_pair("a", "b")).distinct()
+
+
 def _links(
     live: DataFrame, sketches: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int
 ) -> DataFrame:
     """Links between classes that join all that are connected; pairs that are known to be connected are not compared.
 
-    Tokens of few classes give all their pairs that pass the filters. Of larger tokens, in each round every token's row
-    with the least seeded hash is compared with the token's other rows of another component, and then leaves the token;
-    families of near copies so grow together after comparisons in proportion to their rows. When few pairs are left
-    open, or a round no longer halves them, all open pairs are compared. Comparing takes the sketches first; `fetch` gives
-    the sets of the classes that are left. No pair is compared twice.
+    Tokens of few classes give all their pairs that pass the filters. Of a larger token one row is compared with all others: the most
+    central one, which has the fewest rarer n-grams of its own before the token. In a family of near copies nearly all others link
+    with it, and those that do not have so many n-grams of their own that the positional filter drops them. Such rounds go on with the most
+    central row outside the token's largest component until few pairs are open in all; a token that few are open of, or whose open pairs a
+    round does not halve, waits. What is open at the end passes the filters once. Rows that no partner in their token can match go before every
+    round. Comparing takes the sketches first; `fetch` gives the sets of the classes that are left. No pair is compared twice.
     """
     sizes = live.groupBy("token").agg(F.count("*").alias("k"))
-    large = scratch(live.join(sizes.where(F.col("k") > SMALL_TOKEN).select("token"), "token", "left_semi"), "large-tokens")
+    large = live.join(sizes.where(F.col("k") > SMALL_TOKEN).select("token"), "token", "left_semi")
     small = live.join(sizes.where(F.col("k") <= SMALL_TOKEN).select("token"), "token", "left_semi")
     a, b = small.alias("a"), small.alias("b")
     few = (F.col("a.token") == F.col("b.token")) & (F.col("a.class") < F.col("b.class")) & _passes("a", "b", percent)
@@ -278,47 +325,49 @@ def _links(
 
     tested = scratch(a.join(b, few).select(*_pair("a", "b")).distinct(), "pairs")
     links = compared(tested)
+    rows = scratch(large.withColumn("before", F.lit(None).cast("long")), "large-tokens")
     discard(live)
-    before, step, last_rows, rows = None, 0, large, large
-    while step or large.limit(1).count():
-        # components so far are the labels; a class without links is its own
-        roots = components(links).select(F.col("node").alias("class"), "root")
-        rows = rows.join(roots, "class", "left").withColumn("label", F.coalesce("root", "class")).drop("root")
-        counts = rows.groupBy("token", "label").agg(F.count("*").alias("k"))
-        k = F.col("k").cast("double")
-        mixed = (
-            counts.groupBy("token")
-            .agg(((F.sum(k) * F.sum(k) - F.sum(k * k)) / 2).alias("open"), F.max_by("label", "k").alias("most"))
-            .where("open > 0")
-        )
-        open_rows = scratch(rows.join(mixed.select("token", "most", "open"), "token"), "open-rows")
-        discard(last_rows)
-        last_rows = open_rows
-        by_token = open_rows.groupBy("token").agg(F.count("*").alias("k"), F.first("open").alias("open"))
-        n_rows, n_pairs = by_token.agg(F.sum("k"), F.sum("open")).first()
-        if not n_rows:
+    n_rows, first = rows.count(), True
+    left: list[DataFrame] = []
+    columns = ["token", "class", "n", "pos"]
+    while True:
+        # at first each class counts as a component of its own
+        named = rows.withColumn("label", F.col("class")) if first else _labelled(rows, links)
+        open_rows = scratch(_split(_alive(named, percent)), "open-rows")
+        discard(rows)
+        n_open = open_rows.agg(F.sum(F.col("open") / F.col("k"))).first()[0] or 0
+        if n_open <= OPEN_PAIRS * n_rows:
             break
-        last = n_pairs <= OPEN_PAIRS * n_rows or (before is not None and n_pairs > before / 2)
-        before, step = n_pairs, step + 1
-        if last:
-            # the rows of a token's largest component are on one side only
-            a, b = open_rows.where("label <> most").alias("a"), open_rows.alias("b")
-            once = (F.col("b.label") == F.col("b.most")) | (F.col("a.class") < F.col("b.class"))
-        else:
-            turn = F.struct(F.xxhash64(F.lit(step), "class"), "class")
-            pivots = open_rows.groupBy("token").agg(F.min_by(F.struct("class", "n", "pos", "label"), turn).alias("p"))
-            a, b, once = open_rows.alias("a"), pivots.select("token", "p.*").alias("b"), F.lit(True)
+        ends = (F.col("open") <= OPEN_PAIRS * F.col("k")) | (2 * F.col("open") > F.col("before"))
+        ending = open_rows.withColumn("ends", F.coalesce(ends, F.lit(False)))
+        if not first:
+            left.append(scratch(ending.where("ends").select(columns), "left-rows"))
+        going = ending.where("NOT ends")
+        # by place, then by a hash of the class, so that tokens of one family choose alike
+        turn = F.struct(~F.lit(first) & (F.col("label") == F.col("most")), "pos", F.xxhash64("class"), "class")
+        pivots = scratch(
+            going.groupBy("token").agg(F.min_by(F.struct("class", "n", "pos", "label"), turn).alias("p")).select("token", "p.*"), "pivots"
+        )
+        a, b = going.alias("a"), pivots.alias("b")
         apart = (F.col("a.token") == F.col("b.token")) & (F.col("a.label") != F.col("b.label"))
-        found = a.join(b, apart & once & _passes("a", "b", percent)).select(*_pair("a", "b")).distinct()
+        found = a.join(b, apart & _passes("a", "b", percent)).select(*_pair("a", "b")).distinct()
         pairs = scratch(found.join(tested.select("u", "v"), ["u", "v"], "left_anti"), "pairs")
         links = links.unionByName(compared(pairs))
-        if last:
-            break
         tested = tested.unionByName(pairs)
-        gone = pivots.select("token", F.col("p.class").alias("class"))
-        rows = open_rows.join(gone, ["token", "class"], "left_anti").drop("label", "most", "open")
-    discard(last_rows)
-    return links
+        rest = ending.join(pivots.select("token", "class"), ["token", "class"], "left_anti")
+        rest = rest if first else rest.where("NOT ends")
+        rows = scratch(rest.select(*columns, F.col("open").alias("before")), "large-tokens")
+        discard(open_rows, pivots)
+        first = False
+    if left:
+        every = reduce(DataFrame.unionByName, left, open_rows.select(columns))
+        over = scratch(_split(_alive(_labelled(every, links), percent)), "open-rows")
+        discard(open_rows, *left)
+    else:
+        over = open_rows
+    pairs = scratch(_remaining(over, percent).join(tested.select("u", "v"), ["u", "v"], "left_anti"), "pairs")
+    discard(over)
+    return links.unionByName(compared(pairs))
 
 
 def similar_groups(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFrame:
