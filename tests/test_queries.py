@@ -5,6 +5,8 @@ from __future__ import annotations
 import contextlib
 import io
 import os
+import subprocess
+import sys
 
 import pytest
 
@@ -46,6 +48,24 @@ def test_entry_has_rows(spark):
     assert entry(spark).count() > 0
 
 
+@pytest.mark.parametrize("absent", ["regex", "xxhash", "stratalake.llm", "corpus_pipeline"])
+def test_the_other_queries_do_not_need_the_text_operators(absent):
+    code = f"""
+import sys, importlib.util
+real = importlib.util.find_spec
+importlib.util.find_spec = lambda name, *a: None if name == {absent!r} else real(name, *a)
+sys.modules[{absent!r}] = None
+import __spark_entry__
+from stratalake.checks.catalogue import QUERIES
+assert set(QUERIES) <= set(__spark_entry__.queries()), "lost"
+assert {absent!r} == "corpus_pipeline" or not any(n.startswith("op") for n in __spark_entry__.queries()), "there"
+assert "pipeline" not in __spark_entry__.queries()
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr[-600:]
+
+
 @pytest.mark.parametrize("name", ["silver_events", "silver_lineitem", "dedupe_rows", "schema_report", "source_probe"])
 def test_plans_have_no_pair_joins_and_no_python(spark, name):
     text = io.StringIO()
