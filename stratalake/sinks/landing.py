@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.functions.names import column
 from stratalake.functions.text import as_text
 from stratalake.sources.files import CSV_OPTIONS
+from stratalake.sources.listing import files, move, remove
 
 # A landing file is read back by one task, so the bytes of a file bound the work of a task: about so many, for rows
 # as wide as the ones looked at.
@@ -27,13 +30,44 @@ def rows_for(df: DataFrame, file_bytes: int = FILE_BYTES) -> int:
     return max(1, min(ROWS_PER_FILE, int(file_bytes / width))) if width else ROWS_PER_FILE
 
 
-def write_landing(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
-    """Replaces ``path`` by the rows of ``df`` as quoted CSV with a header; nulls and empty text are empty fields."""
+def write_landing(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE, file_bytes: int = FILE_BYTES) -> None:
+    """Replaces ``path`` by the rows of ``df`` as quoted CSV with a header; nulls and empty text are empty fields.
+
+    A file has at most ``rows_per_file`` rows and, whatever their widths, at most about twice ``file_bytes``, or one row: files that
+    came out larger, as rows grew wider than the ones that ``rows_per_file`` was judged by, are dealt out anew.
+    """
     if not df.columns:
         # CSV has no form for rows without columns; an empty line is what such a table looks like.
         df.sparkSession.createDataFrame([("",)], "value string").coalesce(1).write.mode("overwrite").text(path)
         return
-    text = df.transform(as_text)
+    _write_csv(df.transform(as_text), path, rows_per_file)
+    _bound_files(df.sparkSession, path, rows_per_file, file_bytes)
+
+
+def _bound_files(spark: SparkSession, path: str, rows_per_file: int, file_bytes: int) -> None:
+    """Writes files of more than twice the goal again with fewer rows each, until none is left or each has one row.
+
+    Only those files are read, each by one task, which writes its rows in order. A file's new parts take its place after they are whole.
+    """
+    while rows_per_file > 1:
+        large = {name: size for name, size in files(spark, path).items() if size > 2 * file_bytes}
+        if not large:
+            return
+        rows_per_file = max(1, int(rows_per_file * file_bytes / max(large.values())))
+        apart = f"{path}/_apart-{uuid.uuid4().hex[:12]}"
+        columns = spark.read.options(**CSV_OPTIONS).option("multiLine", "true").csv(f"{path}/{next(iter(large))}").schema
+        again = spark.read.options(**CSV_OPTIONS).option("multiLine", "true").schema(columns)
+        # one job for each file: two small ones would share a task, and their rows a file
+        for at, name in enumerate(large):
+            _write_csv(again.csv(f"{path}/{name}"), f"{apart}/{at}", rows_per_file)
+        for at, name in enumerate(large):
+            for part in files(spark, f"{apart}/{at}"):
+                move(spark, f"{apart}/{at}/{part}", f"{path}/{part}")
+            remove(spark, f"{path}/{name}")
+        remove(spark, apart)
+
+
+def _write_csv(text: DataFrame, path: str, rows_per_file: int) -> None:
     if len(text.columns) == 1:
         # A lone null would be a blank line, which readers skip; quoted empty text is read back as null.
         text = text.na.fill("")

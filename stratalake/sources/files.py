@@ -11,7 +11,7 @@ from stratalake.sources.boundaries import BLOCK_BYTES, csv_records
 from stratalake.sources.listing import largest_file, names_with_suffix, recover
 
 # Quotes inside a value are doubled, and a quoted value may hold line breaks.
-CSV_OPTIONS = {"header": "true", "escape": '"'}
+CSV_OPTIONS = {"header": "true", "escape": '"', "charToEscapeQuoteEscaping": '"'}
 
 
 # From this size on it pays to look whether a landing file can be read by several tasks.

@@ -40,6 +40,20 @@ def largest_file(spark: SparkSession, uri: str) -> int:
     return max((s.getLen() for s in fs.listStatus(path) if s.isFile()), default=0)
 
 
+def files(spark: SparkSession, uri: str) -> dict[str, int]:
+    """Bytes of each file directly in ``uri``, by name; hidden ones are left out."""
+    fs, path = _file_system(spark, uri)
+    found = {s.getPath().getName(): s.getLen() for s in fs.listStatus(path) if s.isFile()}
+    return {name: size for name, size in sorted(found.items()) if not name.startswith(("_", "."))}
+
+
+def move(spark: SparkSession, uri: str, target: str) -> None:
+    """Renames a file; nothing may be at ``target``."""
+    fs, path = _file_system(spark, uri)
+    if not fs.rename(path, _file_system(spark, target)[1]):
+        raise OSError(f"{uri} cannot be moved to {target}")
+
+
 def qualified(spark: SparkSession, uri: str) -> str:
     """``uri`` with scheme and authority, so that two spellings of one place compare equal."""
     fs, path = _file_system(spark, uri)

@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from stratalake import DocumentSource, read_landing
 from stratalake.sinks.landing import write_landing
@@ -184,3 +185,31 @@ def test_swapped_headers_stop_the_read(spark, tmp_path):
             (folder / f"{name}.csv").write_text(f"{name}\n1,2\n")
         with pytest.raises(Exception, match="(?i)header"):
             read_landing(spark, str(folder)).collect()
+
+
+@pytest.mark.parametrize("columns", ["k", "k, v"])
+def test_files_stay_bounded_when_rows_grow_a_thousandfold(spark, tmp_path, columns):
+    path, goal = str(tmp_path / "t.csv"), 20_000
+    wide = F.when(F.col("id") < 800, F.lit("x")).otherwise(F.repeat(F.lit('y"\n'), 700))
+    df = spark.range(0, 1000, 1, 2).select(wide.alias("k"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("v")).select(*columns.split(", "))
+    write_landing(df, path, 500, file_bytes=goal)
+    sizes = [p.stat().st_size for p in (tmp_path / "t.csv").iterdir() if p.name.startswith("part-")]
+    assert max(sizes) <= 2 * goal and len(sizes) > 10
+    assert not [p for p in (tmp_path / "t.csv").iterdir() if p.is_dir()]
+    back = read_landing(spark, path)
+    assert back.columns == df.columns
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.select(*(F.col(c).cast("string") for c in df.columns)).collect()))
+
+
+def test_a_nul_beside_a_quote_stays(spark, tmp_path):
+    values = ['"\x00', '\x00"', 'a"\x00b', '""\x00', "\x00", 'x"\n\x00"']
+    write_landing(spark.createDataFrame(list(enumerate(values)), "k int, v string"), str(tmp_path / "t.csv"))
+    assert {int(r["k"]): r["v"] for r in read_landing(spark, str(tmp_path / "t.csv")).collect()} == dict(enumerate(values))
+
+
+def test_a_row_wider_than_a_file_has_a_file_of_its_own(spark, tmp_path):
+    path = str(tmp_path / "t.csv")
+    df = spark.createDataFrame([("a" * 5000, 1), ("b", 2), ("c" * 9000, 3)], "k string, v int").coalesce(1)
+    write_landing(df, path, 100, file_bytes=1000)
+    assert len([p for p in (tmp_path / "t.csv").iterdir() if p.name.startswith("part-")]) == 3
+    assert {r["v"] for r in read_landing(spark, path).collect()} == {"1", "2", "3"}
