@@ -7,6 +7,8 @@ import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +20,8 @@ from stratalake.llm.arrow_words import SpacedWords, slices, texts
 
 #: Lower-case letters whose UTF-8 a tokenizer neither composes nor splits, and ASCII punctuation after them.
 PLAIN_WORD = re.compile(r"([a-zß-öø-ÿ]*)([!-/:-@\[-`{-~]*)")
+#: Bytes of text whose different words are looked up together: the larger, the fewer words come up again.
+SLICE_BYTES = 16 << 20
 #: Sequences in a record batch.
 BATCH_SEQUENCES = 1024
 
@@ -70,17 +74,22 @@ class WordTokenizer:
         words = SpacedWords(rows)
         each = [self._word(w) for w in words.distinct]
         sizes = np.fromiter(map(len, each), np.int64, len(each))
-        flat = np.fromiter((i for ids in each for i in ids), np.uint32, int(sizes.sum()))
+        flat = np.fromiter(chain.from_iterable(each), np.uint32, int(sizes.sum()))
         begins = np.cumsum(sizes) - sizes
         here = sizes[words.codes]
         ends = np.cumsum(here)
         total = int(ends[-1]) if len(ends) else 0
         at = np.repeat(begins[words.codes] - (ends - here), here) + np.arange(total)
-        counts = np.zeros(len(rows), np.int64)
-        np.add.at(counts, words.rows_of, here)
+        counts = np.bincount(words.rows_of, weights=here, minlength=len(rows)).astype(np.int64)
         return flat[at], counts
 
 
+@lru_cache(maxsize=1)
+def word_tokenizer(path: str) -> WordTokenizer:
+    """The tokenizer of a worker process, which keeps it and its pieces from task to task."""
+    return WordTokenizer(path)
+
+
 def _file_system(uri: str):
     from pyarrow import fs
 
@@ -159,13 +168,13 @@ def write_token_files(
         part = TaskContext.get().partitionId()
         name, own = f"{part:06d}", uuid.uuid4().hex
         system, root = _file_system(folder)
-        tokenizer = WordTokenizer(tokenizer_path)
+        tokenizer = word_tokenizer(tokenizer_path)
         temporary = {kind: f"{root}/_{name}-{own}.{kind}" for kind in ("ids", "docs")}
         with system.open_output_stream(temporary["ids"]) as ids_sink, system.open_output_stream(temporary["docs"]) as docs_sink:
             sequences, index = _Sequences(ids_sink, length, tokenizer.wide), pa.ipc.new_file(docs_sink, INDEX)
             n_docs = n_tokens = 0
             for batch in batches:
-                for piece in slices(batch):
+                for piece in slices(batch, most=SLICE_BYTES):
                     ids, counts = tokenizer.encode(texts(piece))
                     ends = np.cumsum(counts)
                     ids = np.insert(ids, ends, end_id)  # after each document
