@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from stratalake.llm.common import let, scratch
 
 KINDS = ["email", "ip", "card", "phone"]
+#: Kinds that only the method finds; they come after the others.
+MORE_KINDS = ["secret"]
+ALL_KINDS = [*KINDS, *MORE_KINDS]
 #: Code points of a text's surroundings that labelers see on each side.
 CONTEXT = 24
 
@@ -24,11 +27,17 @@ IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 #: What divides runs of digits with single spaces or hyphens in between; a run of at least two digits is a card candidate.
 CARD_BREAK = r"[^0-9]{2,}+|[^0-9\x20-]|\A[\x20-]|[\x20-]\z"
-#: Further candidates: numbers without a country code, addresses with their signs spelled out.
+#: Further candidates: numbers without a country code or with 00 before it, cards in groups with other signs between, addresses with
+#: their signs spelled out, addresses of version 6, long runs of letters and digits.
 LOCAL_PHONE = r"(?<![0-9+])(?:\([0-9]{3}\)[\x20-]?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9])"
 SPELLED_EMAIL = (
     rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++\x20?(?:\(at\)|\[at\])\x20?[A-Za-z0-9-]++\x20?(?:\(dot\)|\[dot\]|\.)\x20?[A-Za-z]{{2,12}}"
 )
+DIALLED_PHONE = r"(?<![0-9+.])00[1-9][0-9]{0,2}[\x20./()-][\x20./()0-9-]{6,20}[0-9](?![0-9])"
+GROUPED_CARD = r"(?<![0-9./_])[0-9]{4}([./_])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}(?![0-9./_])"
+SPELLED_IP = r"(?<![0-9.])[0-9]{1,3}(?:\x20?(?:\[\.\]|\(dot\)|\[dot\])\x20?[0-9]{1,3}){3}(?![0-9])"
+IP6 = r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])"
+SECRET = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{20,}+={0,2}"
 
 # The gazetteers, and the words that labelers look for before a span.
 TOP_DOMAINS = "com org net edu gov mil int info io co uk de fr es it nl eu us ca au jp cn ru br in ch at be se no pl".split()
@@ -39,10 +48,22 @@ FOR_KIND = {
     "ip": r"\bip\b|addr|host|server|client|login",
     "card": "card|visa|master|amex|credit|debit|carte|tarjeta|karte",
     "phone": r"phone|\btel\b|call|mobile|fax|tél|teléfono|telefon",
+    "secret": r"token|secret|passw|pwd|api.?key|access.?key|private.?key|bearer|auth",
 }
 AGAINST = r"version|\bv$|\bno\.?\s*$|order|invoice|isbn|serial|build|token|key|id\s*[:=#]?\s*$"
 
-LABELERS = ["pattern", "shape", "gazetteer", "context", "edge"]
+LABELERS = ["pattern", "shape", "gazetteer", "context", "edge", "company"]
+
+# How often a labeler's opinion is expected to be right, before any votes are seen.
+EXPECTED = {"pattern": 0.95, "shape": 0.65, "gazetteer": 0.7, "context": 0.85, "edge": 0.65, "company": 0.6}
+#: Labelers whose reliability is not estimated.
+KNOWN = ["pattern"]
+#: What the expectation and the other kinds weigh against a kind's own votes: so many votes, or this share of its own.
+PRIOR_VOTES, PRIOR_SHARE = 20.0, 0.1
+
+
+#: What other personal data near by looks like.
+COMPANY = r"[A-Za-z0-9]@[A-Za-z0-9]|\+[0-9]|[0-9]{1,3}(?:\.[0-9]{1,3}){3}|[0-9]{13}"
 
 
 def _digits(text: Column) -> Column:
@@ -120,13 +141,20 @@ def candidates(docs: DataFrame) -> DataFrame:
         _matches(text, "phone", PHONE, True, text.rlike(r"\+[0-9]")),
         _matches(text, "phone", LOCAL_PHONE, False, text.rlike(r"[0-9]{3}[\x20.-][0-9]{4}")),
         _matches(text, "email", SPELLED_EMAIL, False, text.rlike(r"\(at\)|\[at\]")),
+        _matches(text, "phone", DIALLED_PHONE, False, text.rlike(r"(?<![0-9+.])00[1-9]")),
+        _matches(text, "card", GROUPED_CARD, False, text.rlike(r"[0-9]{4}([./_])[0-9]{4}\1[0-9]{4}\1")),
+        _matches(text, "ip", SPELLED_IP, False, text.rlike(r"[0-9]\x20?(?:\[\.\]|\(dot\)|\[dot\])")),
+        _matches(text, "ip", IP6, False, text.rlike(r"(?:[0-9A-Fa-f]{1,4}:){7}")),
+        _matches(text, "secret", SECRET, False, text.rlike(r"[A-Za-z0-9+/_-]{20}")),
     )
+    # a pattern's number keeps its matches apart from those of others of its kind
+    patterns = F.transform(patterns, lambda found, form: F.transform(found, lambda m: F.struct(form.alias("form"), m["kind"].alias("kind"), m["base"].alias("base"), m["at"].alias("at"), m["gap"].alias("gap"), m["match"].alias("match"), m["left"].alias("left"), m["right"].alias("right"))))
     each = docs.select("doc_id", "text_hash", F.explode(F.flatten(F.array_compact(patterns))).alias("c")).select(
         "doc_id", "text_hash", "c.*"
     )
-    run = Window.partitionBy("doc_id", "text_hash", "kind", "base").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    run = Window.partitionBy("doc_id", "text_hash", "form").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + F.length("match")).over(run)
-    placed = each.dropDuplicates(["doc_id", "text_hash", "kind", "base", "at"]).withColumn("end", end)
+    placed = each.dropDuplicates(["doc_id", "text_hash", "form", "at"]).withColumn("end", end)
     digits = _digits(F.col("match"))
     n = F.length(digits)
     octets = F.transform(F.split("match", r"\."), lambda part: F.coalesce(part.try_cast("int"), F.lit(256)))
@@ -135,9 +163,10 @@ def candidates(docs: DataFrame) -> DataFrame:
         "ip": F.forall(octets, lambda octet: octet <= 255),
         "card": F.when(n.between(12, 19), luhn(digits)).otherwise(False),
         "phone": n.between(9, 15),
+        "secret": F.lit(False),
     }
     valid = F.coalesce(*(F.when(F.col("kind") == kind, test) for kind, test in checked.items()))
-    return placed.where((F.col("kind") != "card") | (n >= 12)).select(
+    found = placed.where((F.col("kind") != "card") | (n >= 12)).select(
         "doc_id",
         "text_hash",
         "kind",
@@ -148,8 +177,23 @@ def candidates(docs: DataFrame) -> DataFrame:
         "left",
         "right",
         n.alias("n_digits"),
+        valid.alias("checked"),
         (F.col("base") & valid).alias("valid"),
     )
+    return _apart(found)
+
+
+def _apart(spans: DataFrame) -> DataFrame:
+    """The valid base spans and the candidates that overlap none of them."""
+    keys, each = ["start", "end", "kind", "base"], Window.partitionBy("doc_id", "text_hash")
+    # running frames both ways: one that ends with the last row would be gone through anew for every row
+    before = each.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    after = each.orderBy(*map(F.desc, keys)).rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.max(F.when(F.col("valid"), F.col("end"))).over(before)
+    following = F.min(F.when(F.col("valid"), F.col("start"))).over(after)
+    inside = (F.coalesce(reached, F.lit(-1)) > F.col("start")) | (F.coalesce(following, F.col("end")) < F.col("end"))
+    marked = spans.withColumn("inside", inside)
+    return marked.where(F.col("valid") | ~F.col("inside")).drop("inside")
 
 
 def votes(spans: DataFrame) -> DataFrame:
@@ -166,25 +210,31 @@ def votes(spans: DataFrame) -> DataFrame:
     octet = F.substring_index(match, ".", 1).try_cast("int")
     return spans.withColumns(
         {
-            "pattern": F.when(~F.col("base"), 0).otherwise(sign(F.col("valid"))),
+            # a check that says much of any form: Luhn's, octets, the count of digits, an assignment
+            "pattern": F.when(kind == "secret", sign(F.col("left").rlike(r"[:=]\s?[\"']?\z")))
+            .when(F.col("base") | kind.isin("card"), sign(F.col("checked")))
+            .otherwise(0),
             "shape": by_kind(
                 email=sign(F.length(match) <= 64),
-                ip=sign(~match.rlike(r"(?:^|\.)0[0-9]")),
+                ip=sign(~match.rlike(r"(?:^|\.)0[0-9]") & ~match.rlike(r"[0-9]{4}\.")),
                 card=sign(match.rlike(r"^(?:[0-9]{15,16}|[0-9]{4}([\x20-])[0-9]{4}\1[0-9]{4}\1[0-9]{4})$")),
-                phone=sign(match.rlike(r"[0-9][\x20()-]+[0-9]")),
+                phone=sign(match.rlike(r"[0-9][\x20().-]+[0-9]")),
+                secret=sign(match.rlike(r"^(?:[0-9a-f]{24,}|[0-9A-F]{24,})$") | (match.rlike("[a-z]") & match.rlike("[A-Z]") & match.rlike("[0-9]"))),
             ),
             "gazetteer": by_kind(
-                email=F.when(F.lower(F.regexp_extract(match, r"([A-Za-z]+)$", 1)).isin(TOP_DOMAINS), 1).otherwise(0),
-                ip=F.when(octet.isin(0, 127, 255) | (octet >= 240), -1).otherwise(0),
+                email=F.when(F.lower(F.regexp_extract(F.right(match, F.lit(CONTEXT)), r"([A-Za-z]+)$", 1)).isin(TOP_DOMAINS), 1).otherwise(0),
+                ip=F.when(octet.isNull(), 0).when(octet.isin(0, 127, 255) | (octet >= 240), -1).otherwise(1),
                 card=sign(first.isin(CARD_PREFIXES) | F.left(first, F.lit(1)).isin(CARD_PREFIXES)),
                 phone=F.when(
                     match.startswith("+"), sign(first.isin(COUNTRY_CODES) | F.left(first, F.lit(1)).isin(COUNTRY_CODES))
                 ).otherwise(0),
+                secret=F.when(F.lower("left").rlike(r"commit|sha-?[0-9]|\bmd5|checksum|digest|hash|href|src"), -1).otherwise(0),
             ),
-            "context": F.when(F.lower("left").rlike(AGAINST), -1).otherwise(
+            "context": F.when((kind != "secret") & F.lower("left").rlike(AGAINST), -1).otherwise(
                 by_kind(**{k: F.when(F.lower("left").rlike(words), 1).otherwise(0) for k, words in FOR_KIND.items()})
             ),
             "edge": sign(~F.col("left").rlike(r"[\p{L}\p{N}_]\z") & ~F.col("right").rlike(r"\A[\p{L}\p{N}_]")),
+            "company": F.when(F.concat_ws(" ", "left", "right").rlike(COMPANY), 1).otherwise(0),
         }
     )
 
@@ -200,81 +250,151 @@ def _features(rows: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class SpanModel:
-    """Reliabilities of the labelers by class, vote and labeler, and the classifier's weights by feature and value."""
+    """Reliabilities of the labelers (by kind, class, labeler, vote), and the classifier's weights by kind, feature and value.
 
-    reliabilities: dict[str, dict[int, list[float]]]
-    weights: dict[tuple[str, str], float]
+    Weights without a kind hold for all of them.
+    """
+
+    reliabilities: dict[str, dict[int, dict[str, list[float]]]]
+    weights: dict[tuple[str, str, str], float]
 
     def score(self) -> Column:
         """The probability that a row of `_features` is personal data."""
-        total = F.lit(self.weights.get(("", ""), 0.0))
-        for (name, value), weight in self.weights.items():
-            if name:
-                total = total + F.when(F.col(name).cast("string") == value, weight).otherwise(0.0)
+        total = F.lit(self.weights.get(("", "", ""), 0.0))
+        for (kind, name, value), weight in self.weights.items():
+            test = F.col(name).cast("string") == value if name else F.lit(True)
+            if kind or name:
+                total = total + F.when((F.col("kind") == kind) & test if kind else test, weight).otherwise(0.0)
         return 1 / (1 + F.exp(-total))
 
 
-def estimate(patterns: Sequence[tuple[str, tuple[int, ...], int]], rounds: int = 100) -> tuple[np.ndarray, np.ndarray]:
-    """EM over counted vote patterns (kind, votes, count): each pattern's posterior, and P(vote | class) per labeler.
+Patterns = Sequence[tuple[str, tuple[int, ...], int]]
+
 
-    Labelers are taken as independent given the class, with one reliability for all kinds; each kind has its own share of
-    personal data. The start is the share of votes in favour. One sighting of each vote is added, so nothing gets 0 or 1.
+def better_than_chance(chances: np.ndarray) -> np.ndarray:
+    """The nearest chances, P(vote | kind, class, labeler), by which a vote never speaks for the other class.
+
+    A vote in favour is at least as likely for personal data as for other spans, one against at most; where the counts say the opposite, both
+    classes get the mean, and the vote then says nothing.
+    """
+    fixed = chances.copy()
+    for vote, sign in ((2, 1), (0, -1)):
+        no, yes = fixed[:, 0, :, vote], fixed[:, 1, :, vote]
+        wrong, mean = sign * (yes - no) < 0, (yes + no) / 2
+        no[wrong], yes[wrong] = mean[wrong], mean[wrong]
+    # what is left goes to no opinion; where there is nothing left, both opinions give way alike in both classes
+    said = fixed[..., 0] + fixed[..., 2]
+    fixed[..., [0, 2]] /= np.maximum(1.0, said.max(axis=1, keepdims=True) * (1 + 1e-6))[..., None]
+    fixed[..., 1] = 1 - fixed[..., 0] - fixed[..., 2]
+    return fixed
+
+
+def estimate_by_kind(
+    patterns: Patterns, expected: Sequence[float], known: Sequence[bool] = (), rounds: int = 200
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """EM over counted vote patterns (kind, votes, count): posteriors, P(vote | kind, class, labeler), and the counts behind it.
+
+    Labelers are independent given kind and class. A kind's reliabilities are its own counts and a prior: half the expected ones, half
+    those of all kinds together; `known` labelers keep the expected ones, as a check whose chance hits are known needs no estimate, and
+    without one a kind whose other votes agree could be all of one class. In each round no vote may speak for the other class (`better_than_chance`). Each kind has its own share
+    of personal data. The start are the votes weighed by the expected reliabilities.
     """
-    kinds = np.array([KINDS.index(k) for k, _, _ in patterns])
-    seen = np.array([v for _, v, _ in patterns]) + 1  # vote as a place: 0, 1, 2
+    names = sorted({k for k, _, _ in patterns})
+    kinds = np.array([names.index(k) for k, _, _ in patterns])
+    signed = np.array([v for _, v, _ in patterns])
     counts = np.array([c for _, _, c in patterns], float)
-    signed = seen - 1
-    posterior = 1 / (1 + np.exp(-signed.sum(axis=1).astype(float)))
+    right = np.clip(np.array(expected, float), 0.5, 0.99)
+    n_labelers = signed.shape[1]
+    total = np.array([counts[kinds == k].sum() for k in range(len(names))])
+    cast = np.stack([(signed == v) for v in (-1, 0, 1)], axis=-1).astype(float)  # pattern, labeler, vote
+    silent = (counts[:, None] * cast[:, :, 1]).sum(axis=0) / counts.sum()
+    prior = np.empty((2, n_labelers, 3))
+    for c, favour in ((0, 1 - right), (1, right)):
+        prior[c] = np.stack([(1 - silent) * (1 - favour), silent, (1 - silent) * favour], axis=-1)
+    strength = np.maximum(PRIOR_VOTES, PRIOR_SHARE * total)[:, None, None, None]
+    posterior = 1 / (1 + np.exp(-(signed * np.log(right / (1 - right))).sum(axis=1)))
     for _ in range(rounds):
         by_class = np.stack([1 - posterior, posterior]) * counts
-        chances = np.ones((2, seen.shape[1], 3))
-        for vote in range(3):
-            chances[:, :, vote] += by_class @ (seen == vote)
-        # a labeler counts as better than chance: against is likelier for what is not personal data
-        chances /= chances.sum(axis=2, keepdims=True)
-        share = np.array([(by_class[1][kinds == k].sum() + 1) / (counts[kinds == k].sum() + 2) for k in range(len(KINDS))])
+        seen = np.stack([np.einsum("cp,plv->clv", by_class * (kinds == k), cast) for k in range(len(names))])
+        pooled = (seen.sum(axis=0) + prior) / (seen.sum(axis=0) + prior).sum(axis=-1, keepdims=True)
+        chances = seen + strength * (prior + pooled) / 2
+        if len(known):
+            chances[:, :, np.flatnonzero(known)] = prior[:, np.flatnonzero(known)]
+        chances = better_than_chance(np.maximum(chances / chances.sum(axis=-1, keepdims=True), 1e-6))
+        share = np.array([(by_class[1][kinds == k].sum() + 1) / (total[k] + 2) for k in range(len(names))])
         logs = np.log(np.stack([1 - share[kinds], share[kinds]]))
-        for at in range(seen.shape[1]):
-            logs += np.log(chances[:, at, seen[:, at]])
+        own = np.log(np.maximum(chances[kinds], 1e-9))  # pattern, class, labeler, vote
+        logs += np.einsum("pclv,plv->cp", own, cast)
         new = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -500, 500)))
         if np.abs(new - posterior).max() < 1e-9:
             break
         posterior = new
-    return posterior, chances
+    return posterior, chances, seen
+
+
+def estimate(patterns: Patterns, rounds: int = 200) -> tuple[np.ndarray, np.ndarray]:
+    """Posteriors of counted vote patterns and P(vote | class, labeler) over all kinds, for labelers of which nothing is known."""
+    posterior, _, seen = estimate_by_kind(patterns, [0.7] * len(patterns[0][1]), rounds=rounds)
+    every = seen.sum(axis=0) + 1
+    return posterior, every / every.sum(axis=-1, keepdims=True)
 
 
 def train(spans: DataFrame) -> SpanModel:
     """Trains on all candidates with votes; tasks count them by vote pattern and feature, the driver sees only the counts.
 
     There are at most as many counts as value combinations, whatever the corpus. The classifier is a ridge logistic
-    regression on the posteriors that EM gives the patterns.
+    regression on the posteriors that EM gives the patterns; each value has a weight for all kinds and one for its own.
     """
     names = ["kind", *LABELERS, "size", "base"]
     rows = _features(spans).groupBy(*names).agg(F.count("*").alias("n")).orderBy(*names).collect()
     if not rows:
-        return SpanModel({}, {("", ""): -math.inf})
+        return SpanModel({}, {("", "", ""): -math.inf})
     patterns = [(r["kind"], tuple(r[name] for name in LABELERS), r["n"]) for r in rows]
-    posterior, chances = estimate(patterns)
-    columns = sorted({(name, str(r[name]).lower()) for r in rows for name in names})
-    x = np.array([[1.0] + [float(str(r[name]).lower() == value) for name, value in columns] for r in rows])
+    posterior, chances, _ = estimate_by_kind(
+        patterns, [EXPECTED[name] for name in LABELERS], [name in KNOWN for name in LABELERS]
+    )
+
+    def values(row) -> list[tuple[str, str, str]]:
+        own = [(name, str(row[name]).lower()) for name in names[1:]]
+        return [(row["kind"], "", ""), *(("", *pair) for pair in own), *((row["kind"], *pair) for pair in own)]
+
+    columns = sorted({key for r in rows for key in values(r)})
+    place = {key: at for at, key in enumerate(columns, 1)}
+    x = np.zeros((len(rows), len(columns) + 1))
+    x[:, 0] = 1
+    for at, r in enumerate(rows):
+        x[at, [place[key] for key in values(r)]] = 1
     counts = np.array([r["n"] for r in rows], float)
+    ridge = np.full(x.shape[1], 0.1)
     weights = np.zeros(x.shape[1])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-x @ weights))
-        gradient = x.T @ (counts * (posterior - p)) - weights
-        step = np.linalg.solve(x.T @ (x * (counts * p * (1 - p))[:, None]) + np.eye(len(weights)), gradient)
-        weights += step
-        if np.abs(step).max() < 1e-8:
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
+        gradient = x.T @ (counts * (posterior - p)) - ridge * weights
+        curve = x.T @ (x * (counts * np.maximum(p * (1 - p), 1e-4))[:, None]) + np.diag(ridge)
+        step = np.linalg.solve(curve, gradient)
+        weights += step * min(1.0, 5 / max(np.abs(step).max(), 1e-9))
+        if np.abs(step).max() < 1e-6:
             break
-    reliabilities = {name: {c: chances[c, at].tolist() for c in (0, 1)} for at, name in enumerate(LABELERS)}
-    return SpanModel(reliabilities, dict(zip([("", ""), *columns], weights.tolist(), strict=True)))
+    kinds = sorted({k for k, _, _ in patterns})
+    reliabilities = {
+        k: {c: {name: chances[at, c, place].tolist() for place, name in enumerate(LABELERS)} for c in (0, 1)} for at, k in enumerate(kinds)
+    }
+    return SpanModel(reliabilities, dict(zip([("", "", ""), *columns], weights.tolist(), strict=True)))
+
+
+def _before(o: Column, m: Column) -> Column:
+    """Whether a span stands in another's place: they overlap, and it is longer, or as long and earlier, or of an earlier kind."""
+    longer, other = o["end"] - o["start"], m["end"] - m["start"]
+    rank = F.struct(-longer, o["start"], o["kind_no"]) < F.struct(-other, m["start"], m["kind_no"])
+    return (o["start"] < m["end"]) & (m["start"] < o["end"]) & rank
 
 
 def personal_data(docs: DataFrame, threshold: float = 0.9) -> DataFrame:
     """Personal data in documents (doc_id, text): doc_id, base and spans, arrays of (start, kind_no, end, kind) in order.
 
     `base` are the valid matches of the base patterns. `spans` are these and the candidates that are not, but that the
-    classifier gives at least `threshold`, unless they overlap a base span. Positions are code points, ends exclusive.
+    classifier gives at least `threshold`; candidates that overlap a base span are none, and of added spans that overlap the
+    first of the longest ones stays. Kinds of the method's own (`MORE_KINDS`) come after the others. Positions are code points, ends exclusive.
 
     Null text is empty; it and texts without candidates get empty arrays. Rows that repeat a doc_id and text get the same
     spans each; null ids are ids like others. An empty table gives no rows. Other columns are left out.
@@ -287,16 +407,14 @@ def personal_data(docs: DataFrame, threshold: float = 0.9) -> DataFrame:
     )
     spans = scratch(votes(candidates(keyed)).drop("match", "left", "right"), "candidates")
     model = train(spans)
-    number = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int")
+    number = F.array_position(F.array(*map(F.lit, ALL_KINDS)), F.col("kind")).cast("int")
     span = F.struct("start", number.alias("kind_no"), "end", "kind")
     scored = _features(spans).where(F.col("valid") | (model.score() >= threshold))
     by_doc = scored.groupBy("doc_id", "text_hash").agg(
         F.collect_set(F.when(F.col("valid"), span)).alias("base"),
         F.collect_set(F.when(~F.col("valid"), span)).alias("more"),
     )
-    apart = F.filter(
-        "more", lambda m: ~F.exists("base", lambda b: (m["start"] < b["end"]) & (b["start"] < m["end"]))
-    )
+    apart = F.filter("more", lambda m: ~F.exists("more", lambda o: _before(o, m)))
     done = by_doc.select(
         "doc_id", "text_hash", F.array_sort("base").alias("base"), F.array_sort(F.array_union("base", apart)).alias("spans")
     ).alias("s")

@@ -8,7 +8,20 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
-from stratalake.llm.personal_data import KINDS, LABELERS, candidates, estimate, personal_data, span_list, train, votes
+from stratalake.llm.personal_data import (
+    EXPECTED,
+    KINDS,
+    KNOWN,
+    LABELERS,
+    better_than_chance,
+    candidates,
+    estimate,
+    estimate_by_kind,
+    personal_data,
+    span_list,
+    train,
+    votes,
+)
 
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -93,3 +106,63 @@ def test_labelers_vote_and_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert personal_data(empty).count() == 0
     assert train(votes(candidates(docs.limit(0)))).reliabilities == {}
+
+
+def test_no_vote_speaks_for_the_other_class():
+    pick = np.random.default_rng(2)
+    for _ in range(50):
+        chances = pick.dirichlet([0.5] * 3, (3, 2, 6))
+        fixed = better_than_chance(chances)
+        assert np.allclose(fixed.sum(axis=-1), 1) and fixed.min() >= 0
+        assert (fixed[:, 1, :, 2] >= fixed[:, 0, :, 2] - 1e-12).all() and (fixed[:, 0, :, 0] >= fixed[:, 1, :, 0] - 1e-12).all()
+        good = fixed.copy()
+        assert np.allclose(better_than_chance(good), good, atol=1e-5)
+
+
+def test_kinds_in_which_all_votes_agree_are_not_turned_round():
+    sure, doubt = (1, 1, 1, 0, 1, 0), (-1, 1, 1, 0, 1, 0)
+    counted = [("card", sure, 174), ("card", doubt, 164), ("email", sure, 186), ("ip", (1, 1, 0, 0, 1, 0), 180)]
+    posterior, chances, _ = estimate_by_kind(counted, [EXPECTED[name] for name in LABELERS], [name in KNOWN for name in LABELERS])
+    assert posterior[0] > 0.95 and posterior[1] < 0.5 and posterior[2] > 0.95 and posterior[3] > 0.95
+    assert (chances[:, 1, :, 2] >= chances[:, 0, :, 2] - 1e-9).all()
+
+
+def planted(count):
+    """Texts with one thing each, and whether it is personal data: spelled forms, numbers without a country, secrets, look-alikes."""
+    pick = random.Random(8)
+    digits = lambda n: "".join(pick.choice("0123456789") for _ in range(n))
+    hexed = lambda n: "".join(pick.choice("0123456789abcdef") for _ in range(n))
+    makers = [
+        (True, lambda: f"mail u{digits(3)} (at) host{digits(2)} (dot) com please"),
+        (True, lambda: f"call ({digits(3)}) {digits(3)}-{digits(4)} now"),
+        (True, lambda: f"phone 0049 30 {digits(4)} {digits(4)} now"),
+        (True, lambda: f"server 10[.]{pick.randrange(256)}[.]{pick.randrange(256)}[.]7 up"),
+        (True, lambda: f'and token = "{hexed(40)}" there'),
+        (False, lambda: f"build {digits(13)}0 of it"),
+        (False, lambda: f"order no. 4000 0000 0000 {pick.choice(['0003', '0005', '0011'])} sent"),
+        (False, lambda: f"commit {hexed(40)} fixed it"),
+        (False, lambda: f"version {pick.randrange(300, 999)}.1.1.1 came"),
+        (False, lambda: "thanertheandtiononhalytheinerthstorthit words only"),
+    ]
+    return [(kind, make()) for kind, make in makers for _ in range(count)]
+
+
+def test_planted_forms_are_found_and_look_alikes_left(spark):
+    things = planted(30)
+    rows = [(k, text) for k, (_, text) in enumerate(things)]
+    rows += [(10_000 + k, f"write u{k}@mail{k % 9}.example.com or +1 (212) 555-{k:04d} or 10.2.3.{k}, card 4111111111111111") for k in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: len(r["spans"]) for r in personal_data(docs).collect()}
+    found = [got[k] > 0 for k in range(len(things))]
+    true = sum(f for f, (real, _) in zip(found, things) if real)
+    recall, precision = true / sum(real for real, _ in things), true / max(sum(found), 1)
+    assert recall >= 0.95 and precision >= 0.95, (recall, precision)
+    assert all(got[10_000 + k] >= 4 for k in range(100))
+
+
+def test_added_spans_do_not_overlap(spark):
+    texts = ['token = "' + "4111.1111.1111.1111" * 2 + '"', "call (212) 555-0134, 0049 (212) 555-0134 and bob (at) mail (dot) com"] * 20
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in personal_data(docs).collect():
+        ends = [(s["start"], s["end"]) for s in r["spans"]]
+        assert all(x[1] <= y[0] for x, y in zip(ends, ends[1:]))
