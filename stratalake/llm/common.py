@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from stratalake.sources.listing import remove
 WHITE = " \t\n\x0b\x0c\r"
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +41,25 @@ def scratch(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, most: int) -> Iterator[None]:
+    """Jobs begun inside send Python functions Arrow batches of about so many bytes, or of one row that is wider.
+
+    By default a batch is bounded by its number of rows, so that its memory, in the executor and in its Python worker, grows with the
+    rows' width. The session's own bound comes back at the end, and is kept throughout where it is lower.
+    """
+    own = spark.conf.get(BATCH_BYTES)
+    reader = spark._jvm.org.apache.spark.network.util.JavaUtils
+    if 0 < reader.byteStringAsBytes(own) <= most:
+        yield
+        return
+    spark.conf.set(BATCH_BYTES, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_BYTES, own)
+
+
 def discard(*tables: DataFrame) -> None:
     """Removes the files of scratch tables that nothing will read any more."""
     for df in tables:

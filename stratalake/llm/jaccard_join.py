@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from stratalake.llm.arrow_words import SpacedWords, slices, texts
-from stratalake.llm.common import discard, scratch
+from stratalake.llm.arrow_words import SLICE_BYTES, SpacedWords, slices, texts
+from stratalake.llm.common import batches_of, discard, scratch
 from stratalake.llm.components import components
 
 #: Counters of the frequency table (a power of two) and how many of them make a row while they are added up.
@@ -382,9 +382,14 @@ def similar_groups(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFra
     Texts with equal sets are one class. N-grams are ordered by a table of hashed counts over all texts, of fixed size:
     any order gives the same links, and frequent n-grams go last. Classes that share a token of their prefixes are
     compared (see `_links`), each pair once. Only prefixes and sketches are
-    shuffled, and the sets of classes whose sketches are alike.
+    shuffled, and the sets of classes whose sketches are alike. Texts reach Python in batches of bounded bytes.
     """
-    docs = docs.select("doc_id", "text")
+    with batches_of(docs.sparkSession, SLICE_BYTES):
+        return _grouped(docs.select("doc_id", "text"), percent, size)
+
+
+def _grouped(docs: DataFrame, percent: int, size: int) -> DataFrame:
+    """The groups; every job over texts is run here, and the result reads scratch tables only."""
     survey = scratch(_survey(docs, size), "survey")
     members = survey.where("chunk is null").select("doc_id", "class", "n")
     frequencies = _frequencies(survey.where("chunk is not null").select("chunk", "counts"))

@@ -5,10 +5,12 @@ from __future__ import annotations
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from stratalake.llm import jaccard_join
+from stratalake.llm.common import BATCH_BYTES, batches_of
 from stratalake.llm.components import components
 from stratalake.llm.jaccard_join import similar_groups
 
@@ -99,3 +101,42 @@ def test_components(spark):
     links = [(i, i + 1) for i in range(1, 40)] + [(100, k) for k in range(101, 160)] + [(300, 300), (200, 201), (201, 200)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
     assert got == dict.fromkeys(range(1, 41), 1) | dict.fromkeys(range(100, 160), 100) | {200: 200, 201: 200}
+
+
+def test_texts_reach_python_in_batches_of_bounded_bytes(spark, monkeypatch):
+    bounds, write = [], jaccard_join.scratch
+
+    def noted(df, purpose):
+        bounds.append(int(spark.conf.get(BATCH_BYTES)))
+        return write(df, purpose)
+
+    monkeypatch.setattr(jaccard_join, "scratch", noted)
+    own = spark.conf.get(BATCH_BYTES)
+    texts = [(1, "a b c d e f g"), (2, "A b c d e f g"), (3, "h i j k l m n")]
+    groups = similar_groups(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert bounds and set(bounds) == {jaccard_join.SLICE_BYTES}
+    assert spark.conf.get(BATCH_BYTES) == own
+    assert {tuple(r) for r in groups.collect()} == {(1, 3, 1), (2, 3, 1), (3, 3, 3)}
+
+
+def test_batches_are_bounded_by_bytes_inside_and_as_before_afterwards(spark):
+    wide = spark.range(60, numPartitions=1).select(F.repeat(F.lit("x"), 100_000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes])], names=["n"])
+
+    seen = wide.mapInArrow(sizes, "n long")
+    own = spark.conf.get(BATCH_BYTES)
+    with pytest.raises(ZeroDivisionError), batches_of(spark, 1 << 20):
+        inside = [r["n"] for r in seen.collect()]
+        raise ZeroDivisionError
+    assert len(inside) > 1 and max(inside) < 2 << 20
+    assert spark.conf.get(BATCH_BYTES) == own
+    assert len(seen.collect()) == 1
+    spark.conf.set(BATCH_BYTES, "64k")
+    try:
+        with batches_of(spark, 1 << 20):
+            assert spark.conf.get(BATCH_BYTES) == "64k"
+    finally:
+        spark.conf.set(BATCH_BYTES, own)
