@@ -11,7 +11,9 @@ import sys
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from stratalake.checks import catalogue
 from stratalake.checks.catalogue import ORACLES, QUERIES
+from stratalake.plans import stages
 from tests.oracle import TESTDATA, connect, differences
 
 SF_DIR = f"{TESTDATA}/sf0.001"
@@ -72,3 +74,22 @@ def test_plans_have_no_pair_joins_and_no_python(spark, name):
     with contextlib.redirect_stdout(text):
         queries()[name](spark, SF_DIR).explain()
     assert not any(word in text.getvalue() for word in ("Cartesian", "NestedLoop", "Python"))
+
+
+@pytest.mark.parametrize("name", ["medallion_audit", "medallion_orders"])
+def test_layers_of_whole_tables_do_not_shuffle_rows_without_a_copy(spark, monkeypatch, name):
+    plans, write = [], stages.write_layer
+
+    def noted(df, path, *args):
+        if "/silver/" in path:
+            plans.append(df._jdf.queryExecution().analyzed().toString())
+        return write(df, path, *args)
+
+    monkeypatch.setattr(stages, "write_layer", noted)
+    monkeypatch.setattr(catalogue, "ALL_TABLES", ["nation", "orders"])
+    found = QUERIES[name](spark, SF_DIR).collect()
+    assert plans and all("bitmap_construct_agg" in plan for plan in plans)
+    if name == "medallion_audit":
+        silver = {r["table_name"]: r["rows_written"] for r in found if r["stage"] == "silver"}
+        whole = {t: catalogue.given(spark, SF_DIR, t).distinct().count() for t in ("nation", "orders")}
+        assert silver == whole
