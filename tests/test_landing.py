@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 from pathlib import Path
 
 import pandas as pd
@@ -201,6 +202,24 @@ def test_files_stay_bounded_when_rows_grow_a_thousandfold(spark, tmp_path, colum
     assert sorted(map(str, back.collect())) == sorted(map(str, df.select(*(F.col(c).cast("string") for c in df.columns)).collect()))
 
 
+def test_compressed_files_are_bounded_by_their_text(spark, tmp_path):
+    path, goal = str(tmp_path / "t.csv"), 20_000
+    wide = F.when(F.col("id") < 800, F.lit("x")).otherwise(F.repeat(F.lit('y"\n'), 700))
+    df = spark.range(0, 1000, 1, 2).select(wide.alias("k"), "id")
+    write_landing(df, path, 500, file_bytes=goal, codec="gzip")
+    parts = [p for p in (tmp_path / "t.csv").iterdir() if p.name.startswith("part-")]
+    assert all(p.name.endswith(".csv.gz") for p in parts)
+    sizes = [len(gzip.decompress(p.read_bytes())) for p in parts]
+    assert max(sizes) <= 2 * goal and len(sizes) > 10
+    assert sum(p.stat().st_size for p in parts) < sum(sizes) / 4
+    assert rows(read_landing(spark, path)) == rows(df.select("k", F.col("id").cast("string")))
+
+
+def test_awkward_text_survives_compression(spark, path):
+    write_landing(spark.createDataFrame(list(enumerate(AWKWARD)), "i int, s string"), path, codec="gzip")
+    assert {int(r.i): r.s for r in read_landing(spark, path).collect()} == dict(enumerate(AWKWARD))
+
+
 def test_a_nul_beside_a_quote_stays(spark, tmp_path):
     values = ['"\x00', '\x00"', 'a"\x00b', '""\x00', "\x00", 'x"\n\x00"']
     write_landing(spark.createDataFrame(list(enumerate(values)), "k int, v string"), str(tmp_path / "t.csv"))

@@ -7,13 +7,16 @@ import io
 import os
 import subprocess
 import sys
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from stratalake.checks import catalogue
 from stratalake.checks.catalogue import ORACLES, QUERIES
 from stratalake.plans import stages
+from stratalake.sources.files import read_landing
 from tests.oracle import TESTDATA, connect, differences
 
 SF_DIR = f"{TESTDATA}/sf0.001"
@@ -93,3 +96,28 @@ def test_layers_of_whole_tables_do_not_shuffle_rows_without_a_copy(spark, monkey
         silver = {r["table_name"]: r["rows_written"] for r in found if r["stage"] == "silver"}
         whole = {t: catalogue.given(spark, SF_DIR, t).distinct().count() for t in ("nation", "orders")}
         assert silver == whole
+
+
+def test_the_audits_layers_lie_compressed_and_whole(spark, monkeypatch, tmp_path):
+    layouts, lake = [], catalogue.new_lake
+
+    def noted(*args):
+        layouts.append(lake(*args))
+        return layouts[-1]
+
+    monkeypatch.setattr(catalogue, "new_lake", noted)
+    monkeypatch.setattr(catalogue, "ALL_TABLES", ["few", "many"])
+    whole = {"few": 3, "many": 2000}
+    for name, n in whole.items():
+        spark.range(n).selectExpr("id", "CONCAT('row ', id, ', with \"quotes\"') AS text").write.parquet(str(tmp_path / f"{name}.parquet"))
+    found = QUERIES["medallion_audit"](spark, str(tmp_path)).collect()
+    assert {(r["stage"], r["table_name"], r["rows_written"]) for r in found} == {(s, t, n) for t, n in whole.items() for s in ("extract", "bronze", "silver")}
+    for name, n in whole.items():
+        landed = layouts[0].landing_path(name)
+        parts = list(Path(landed).glob("part-*"))
+        assert parts and all(p.name.endswith(".csv.gz") for p in parts)
+        assert read_landing(spark, landed).count() == n
+        for path in (layouts[0].bronze_path(name), layouts[0].silver_path(name)):
+            files = [pq.ParquetFile(p).metadata for p in Path(path).glob("part-*")]
+            assert sum(f.num_rows for f in files) == n
+            assert {f.row_group(0).column(0).compression for f in files if f.num_row_groups} == {"ZSTD"}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from pathlib import Path
 
@@ -188,6 +189,11 @@ def test_only_rows_with_copies_move(spark):
     assert dedupe_wide(df).count() == 5000
 
 
+def test_one_hash_of_a_row_is_shuffled(spark):
+    plan = mark_repeated(spark.range(10).selectExpr("id", "CAST(id AS STRING) AS text"), "moved")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(h1#\w+, \d+\)", plan) and "h2#" not in plan
+
+
 def test_equal_rows_have_equal_fingerprints(spark):
     df = spark.createDataFrame(GIVEN, SCHEMA)
     prints = df.select("v", "n", "d", *(h.alias(f"h{k}") for k, h in enumerate(fingerprint(df)))).collect()

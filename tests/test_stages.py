@@ -22,7 +22,7 @@ from stratalake import (
 from stratalake.checks.database import load_database
 from stratalake.checks.workspace import new_folder
 from stratalake.operators.cleaning import dedupe_rows
-from stratalake.plans.sizing import BYTES_PER_TASK, INITIAL_PARTITIONS, MOST_TASKS, reduce_tasks, session_sized_for
+from stratalake.plans.sizing import BYTES_PER_TASK, DROP_SHUFFLES, INITIAL_PARTITIONS, MOST_TASKS, reduce_tasks, session_sized_for
 from stratalake.sinks.landing import rows_for, write_landing
 from stratalake.sinks.layers import write_layer
 from tests.conftest import STAMP, rows
@@ -180,6 +180,26 @@ def test_each_table_has_its_own_shuffle_setting_and_the_users_own_is_respected(s
     spark.conf.unset(INITIAL_PARTITIONS)
 
 
+def test_the_users_own_choice_about_shuffle_files_stays(spark):
+    assert session_sized_for(spark, 1).conf.get(DROP_SHUFFLES) == "true"
+    spark.conf.set(DROP_SHUFFLES, "false")
+    assert session_sized_for(spark, 1).conf.get(DROP_SHUFFLES) == "false"
+    spark.conf.unset(DROP_SHUFFLES)
+
+
+@pytest.mark.parametrize("distinct", ["rows", "fingerprints"])
+def test_silver_leaves_no_shuffle_files(spark, layout, stamp_at, distinct):
+    def shuffled():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {name for name in found.splitlines() if "/shuffle_" in name}
+
+    rows_ = spark.range(1000).selectExpr("CAST(id % 700 AS STRING) AS a").withColumn("_ingestion_timestamp", stamp_at)
+    write_layer(rows_, layout.bronze_path("t"))
+    before = shuffled()
+    assert bronze_to_silver(spark, layout, distinct=distinct).first()["rows_written"] == 700
+    assert not shuffled() - before
+
+
 def test_silver_shuffles_into_as_many_partitions_as_the_session_of_the_table_says(spark, layout):
     path = layout.bronze_path("rows")
     spark.range(1000).selectExpr("CAST(id % 10 AS STRING) AS a").write.parquet(path)
