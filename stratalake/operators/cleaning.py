@@ -65,8 +65,8 @@ def mark_repeated(
 ) -> DataFrame:
     """Adds whether a row may occur again: true for all that do, and for few others.
 
-    Only the first of a row's hashes is shuffled and counted: rows that share it by chance are marked without need, and at 64 bits
-    those are a few among 10^10. The places of those that occur again go into a bitmap of fixed size, which every
+    Only the first of a row's hashes is shuffled and counted. Rows that share its 64 bits by chance, about three pairs among 10^10
+    rows, are marked without need. The places of those that occur again go into a bitmap of fixed size, which every
     task gets; the fuller it is, the more rows are marked without need.
     """
     first = hashes(df)[0]

@@ -12,6 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stratalake import DocumentSource, read_landing
+from stratalake.sinks import landing
 from stratalake.sinks.landing import write_landing
 from stratalake.sources.files import lines_are_records
 from tests.conftest import rows
@@ -215,6 +216,15 @@ def test_compressed_files_are_bounded_by_their_text(spark, tmp_path):
     assert rows(read_landing(spark, path)) == rows(df.select("k", F.col("id").cast("string")))
 
 
+@pytest.mark.parametrize(("width", "looked_through"), [(5, 0), (200, 1)])
+def test_compressed_files_are_looked_through_only_where_one_may_be_too_large(spark, path, monkeypatch, width, looked_through):
+    passes, larger = [], landing._larger_files
+    monkeypatch.setattr(landing, "_larger_files", lambda *args: passes.append(args) or larger(*args))
+    df = spark.range(0, 100, 1, 1).select(F.when(F.col("id") == 50, F.repeat(F.lit("x"), width)).otherwise("a").alias("k"))
+    write_landing(df, path, 50, file_bytes=1000, codec="gzip")
+    assert len(passes) == looked_through and read_landing(spark, path).count() == 100
+
+
 def test_awkward_text_survives_compression(spark, path):
     write_landing(spark.createDataFrame(list(enumerate(AWKWARD)), "i int, s string"), path, codec="gzip")
     assert {int(r.i): r.s for r in read_landing(spark, path).collect()} == dict(enumerate(AWKWARD))
